@@ -12,6 +12,7 @@ the area covered, whatever the data volume and however much of it lies in one pl
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,36 +21,38 @@ from sitewarden.constants import KDE_BANDWIDTH_M
 from sitewarden.functions.cells import PlaneGrid
 from sitewarden.functions.geodesy import to_3857
 from sitewarden.functions.polygons import st_centroid
+from sitewarden.session import stage
 
 NODES = 12
 _BOX = ["bx", "by"]
 
 
-def _angles() -> list[float]:
-    return [(2 * m + 1) * math.pi / (2 * NODES) for m in range(NODES)]
-
-
-def _lagrange(theta: Column, node_angle: float) -> Column:
-    """Lagrange basis of one Chebyshev node at cos(theta)."""
-    terms = [math.cos(k * node_angle) * F.cos(theta * k) for k in range(1, NODES)]
-    total = terms[0]
-    for term in terms[1:]:
-        total = total + term
-    return (1.0 + 2.0 * total) / NODES
-
-
-def _basis(theta: Column) -> Column:
-    return F.array(*[_lagrange(theta, a) for a in _angles()])
-
-
 def _with_basis(df: DataFrame, h: float) -> DataFrame:
-    """Basis values of each point in its box: arrays lx, ly."""
+    """Add arrays lx, ly: the Lagrange basis of the Chebyshev nodes of the point's box, per axis."""
+    # factors[m][k - 1] = 2/p cos(k theta_m)
+    factors = F.array(
+        *[
+            F.array(*[F.lit(2.0 / NODES * math.cos(k * (2 * m + 1) * math.pi / (2 * NODES))) for k in range(1, NODES)])
+            for m in range(NODES)
+        ]
+    )
 
-    def theta(v: str, box: str) -> Column:
-        return F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 2.0 * (F.col(v) / h - F.col(box)) - 1.0)))
+    def waves(v: str, box: str) -> Column:
+        u = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 2.0 * (F.col(v) / h - F.col(box)) - 1.0))
+        return F.transform(
+            F.transform(F.sequence(F.lit(1), F.lit(NODES - 1)), lambda k: k * F.acos(u)), lambda a: F.cos(a)
+        )
 
-    angled = df.withColumns({"_tx": theta("x", "bx"), "_ty": theta("y", "by")})
-    return angled.withColumns({"lx": _basis(F.col("_tx")), "ly": _basis(F.col("_ty"))}).drop("_tx", "_ty")
+    def basis(waved: str) -> Column:
+        return F.transform(
+            factors,
+            lambda f: F.aggregate(
+                F.zip_with(f, F.col(waved), lambda a, b: a * b), F.lit(1.0 / NODES), lambda acc, t: acc + t
+            ),
+        )
+
+    waved = df.withColumns({"_wx": waves("x", "bx"), "_wy": waves("y", "by")})
+    return waved.withColumns({"lx": basis("_wx"), "ly": basis("_wy")}).drop("_wx", "_wy")
 
 
 def _node_position(box: Column, angle: Column, h: float) -> Column:
@@ -85,17 +88,21 @@ def _condense(points: DataFrame, h: float) -> DataFrame:
     ).select(*_BOX, "x", _node_position(F.col("by"), (2 * F.col("n") + 1) * step, h).alias("y"), "w")
 
 
-def kernel_sums(targets: DataFrame, sources: DataFrame, h: float, cutoff: float) -> DataFrame:
-    """Per target (x, y): sum of w exp(-d^2 / 2h^2) over the sources within the 3 x 3 cells around it."""
+def kernel_sums(
+    targets: DataFrame, sources: DataFrame, h: float, cutoff: float, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Per target: sum of w exp(-d^2 / 2h^2) over the sources within the 3 x 3 cells around it."""
     grid = PlaneGrid(cutoff * h)
     placed = sources.select(
         F.col("x").alias("sx"), F.col("y").alias("sy"), "w", grid.cell_of(F.col("x"), F.col("y")).alias("cell")
     )
-    reach = targets.select("x", "y", F.explode(grid.cover(F.col("x"), F.col("y"), cutoff * h)).alias("cell"))
+    reach = targets.select(
+        "x", "y", *carry, F.explode(grid.cover(F.col("x"), F.col("y"), cutoff * h)).alias("cell")
+    )
     dx, dy = F.col("x") - F.col("sx"), F.col("y") - F.col("sy")
     return (
         reach.join(placed, "cell")
-        .groupBy("x", "y")
+        .groupBy("x", "y", *carry)
         .agg(F.sum(F.col("w") * F.exp((dx * dx + dy * dy) * (-0.5 / (h * h)))).alias("kernel_sum"))
     )
 
@@ -118,41 +125,42 @@ def gaussian_kde(
         .agg(F.count(F.lit(1)).cast("double").alias("w"))
         .withColumns({"bx": F.floor(F.col("x") / h), "by": F.floor(F.col("y") / h)})
     )
-    boxes = places.groupBy(*_BOX).agg(F.count(F.lit(1)).alias("places"), F.sum("w").alias("weight"))
-    crowded = boxes.where(F.col("places") > box_points).select(*_BOX)
-    sparse_places = places.join(crowded, _BOX, "left_anti")
-    crowded_places = places.join(crowded, _BOX, "left_semi")
-
-    sources = sparse_places.select("x", "y", "w").unionByName(_condense(crowded_places, h).select("x", "y", "w"))
-    nodes = _node_grid(crowded, h)
-    targets = sparse_places.select("x", "y").unionByName(nodes.select("x", "y"))
-    sums = kernel_sums(targets, sources, h, cutoff)
-
-    # one row per crowded box: the node values as a p*p array, node (m, n) at m*p + n
-    at_nodes = (
-        nodes.join(sums, ["x", "y"])
-        .groupBy(*_BOX)
-        .agg(F.sort_array(F.collect_list(F.struct((F.col("m") * NODES + F.col("n")).alias("i"), "kernel_sum"))).alias("v"))
-        .select(*_BOX, F.transform("v", lambda v: v.getField("kernel_sum")).alias("values"))
+    crowded = (
+        places.groupBy(*_BOX).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > box_points).select(*_BOX, F.lit(True).alias("crowded"))
+    )
+    # written once: every later step starts from it
+    places = stage(places.join(crowded, _BOX, "left").withColumn("crowded", F.coalesce("crowded", F.lit(False))), "places")
+    total = places.agg(F.sum("w")).scalar()
+    sparse, dense = places.where(~F.col("crowded")), places.where("crowded")
+    if dense.isEmpty():
+        sums = kernel_sums(places, places, h, cutoff)
+    else:
+        nodes = _node_grid(dense.select(*_BOX).distinct(), h)
+        sources = sparse.select("x", "y", "w").unionByName(_condense(dense, h).select("x", "y", "w"))
+        targets = sparse.select("x", "y", *_BOX, F.lit(-1).alias("i")).unionByName(
+            nodes.select("x", "y", *_BOX, (F.col("m") * NODES + F.col("n")).alias("i"))
+        )
+        at = stage(kernel_sums(targets, sources, h, cutoff, [*_BOX, "i"]), "kernel_sums")
+        sums = at.where("i < 0").select("x", "y", "kernel_sum").unionByName(_interpolate(dense, at.where("i >= 0"), h))
+    density = sums.select("x", "y", (F.col("kernel_sum") / (total * (2 * math.pi * h * h))).alias("density_score"))
+    return points.join(density, ["x", "y"], "left").select(*points.columns, "density_score")
+
+
+def _interpolate(dense: DataFrame, at_nodes: DataFrame, h: float) -> DataFrame:
+    """Kernel sums of the points of crowded boxes from the sums at the boxes' nodes."""
+    # p*p values per box, node (m, n) at m*p + n
+    per_box = at_nodes.groupBy(*_BOX).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("i", "kernel_sum"))), lambda v: v["kernel_sum"]).alias("values")
     )
 
     def row_value(m: Column) -> Column:
         row = F.slice("values", m * NODES + 1, F.lit(NODES))
-        return F.aggregate(F.zip_with(row, F.col("ly"), lambda v, l: v * l), F.lit(0.0), lambda acc, t: acc + t)
-
-    interpolated = _with_basis(crowded_places.join(at_nodes, _BOX), h).select(
-        "x",
-        "y",
-        F.aggregate(
-            F.transform("lx", lambda l, m: l * row_value(m)), F.lit(0.0), lambda acc, t: acc + t
-        ).alias("kernel_sum"),
-    )
-    exact = sums.join(sparse_places.select("x", "y"), ["x", "y"], "left_semi")
-    total = boxes.agg(F.sum("weight").alias("v")).scalar()
-    density = exact.unionByName(interpolated).select(
-        "x", "y", (F.col("kernel_sum") / (total * (2 * math.pi * h * h))).alias("density_score")
+        return F.aggregate(F.zip_with(row, F.col("ly"), lambda v, b: v * b), F.lit(0.0), lambda acc, t: acc + t)
+
+    rows = F.transform("lx", lambda b, m: b * row_value(m))
+    return _with_basis(dense.join(per_box, _BOX), h).select(
+        "x", "y", F.aggregate(rows, F.lit(0.0), lambda acc, t: acc + t).alias("kernel_sum")
     )
-    return points.join(density, ["x", "y"], "left").select(*points.columns, "density_score")
 
 
 def urban_kde(urban: DataFrame, bandwidth_m: float = KDE_BANDWIDTH_M, cutoff: float = 8.0) -> DataFrame:

@@ -17,7 +17,15 @@ from pyspark.sql import functions as F
 
 from sitewarden.constants import BUFFER_DISTANCES_M, JOIN_SALTS
 from sitewarden.functions.cells import GeoGrid, PlaneGrid
-from sitewarden.functions.geodesy import angle_to_m, central_angle, from_3035, planar_m, reduced_latitude, to_3035
+from sitewarden.functions.geodesy import (
+    angle_to_m,
+    central_angle,
+    from_3035,
+    geodesic_m,
+    planar_m,
+    reduced_latitude,
+    to_3035,
+)
 from sitewarden.functions.polygons import max_vertex_m, st_distance, with_plane_rings
 from sitewarden.session import resolve_strategy
 
@@ -119,12 +127,14 @@ def distance_sums(
 
 
 def with_plane(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """Add EPSG:3035 coordinates of lon/lat; rows without them are dropped."""
-    point = to_3035(F.col("lon"), F.col("lat"))
-    return (
-        df.withColumn("_p", point)
-        .where(F.col("_p").isNotNull())
-        .select(*df.columns, F.col("_p.x").alias(x), F.col("_p.y").alias(y))
+    """Add EPSG:3035 coordinates of lon/lat; rows without a position are dropped.
+
+    At the antipode x and y are NULL, which no join matches. Filtering on them would make the
+    optimizer evaluate the projection a second time below the filter.
+    """
+    placed = df.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    return placed.withColumn("_p", to_3035(F.col("lon"), F.col("lat"))).select(
+        *df.columns, F.col("_p.x").alias(x), F.col("_p.y").alias(y)
     )
 
 
@@ -379,3 +389,25 @@ def validate_projection(spark) -> DataFrame:
     return df.select("city_a", "city_b", km.alias("distance_km"), "min_km", "max_km").withColumn(
         "passed", F.col("distance_km").between(F.col("min_km"), F.col("max_km"))
     )
+
+
+def projection_scale(linked: DataFrame, method: str = "spheroid") -> DataFrame:
+    """Per site, the range of EPSG:3035 distance over ground distance of its linked points.
+
+    Rows carry nearest_site_id, lon, lat, site_lon, site_lat. 1 is a faithful projection; far from
+    its centre the range shows how much planar distances are off.
+    """
+    ground = geodesic_m(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"), method)
+    placed = linked.withColumns(
+        {
+            "_m": ground,
+            "_p": to_3035(F.col("lon"), F.col("lat")),
+            "_q": to_3035(F.col("site_lon"), F.col("site_lat")),
+        }
+    ).where(F.col("_m") > 0)
+    ratio = planar_m(F.col("_p.x"), F.col("_p.y"), F.col("_q.x"), F.col("_q.y")) / F.col("_m")
+    return (
+        placed.select(F.col("nearest_site_id").alias("site_id"), ratio.alias("ratio"))
+        .groupBy("site_id")
+        .agg(F.count(F.lit(1)).alias("features"), F.min("ratio").alias("min_ratio"), F.max("ratio").alias("max_ratio"))
+    )
