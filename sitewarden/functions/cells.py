@@ -21,6 +21,14 @@ _KM_PER_DEGREE = 110.5
 _SPHEROID_SLACK = 1.01
 
 
+def _never_null(key: Column) -> Column:
+    """A join key the optimizer need not filter: an inferred `isnotnull` would evaluate it twice.
+
+    -1 may meet a real cell; the exact distance test then drops the pair, as its distance is NULL.
+    """
+    return F.coalesce(key, F.lit(-1).cast("long"))
+
+
 class GeoGrid:
     """Lon/lat grid with cells of at least `cell_km`."""
 
@@ -45,7 +53,7 @@ class GeoGrid:
         band = self._band(lat)
         width = self._width(band)
         column = F.floor(F.pmod(lon + 180.0, F.lit(360.0)) / 360.0 * width) % width
-        return self._key(band, column)
+        return _never_null(self._key(band, column))
 
     def cover(self, lon: Column, lat: Column, radius_km: float) -> Column:
         """array<long> of the cells that hold any point within `radius_km`."""
@@ -84,7 +92,7 @@ class PlaneGrid:
         return F.shiftleft(row, 32) + F.pmod(column, F.lit(1 << 32))
 
     def cell_of(self, x: Column, y: Column) -> Column:
-        return self.key(self._index(x), self._index(y))
+        return _never_null(self.key(self._index(x), self._index(y)))
 
     def cover(self, x: Column, y: Column, radius_m: float) -> Column:
         """array<long> of the cells that hold any point within `radius_m`."""

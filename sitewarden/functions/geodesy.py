@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- fixed values: GRS80 / EPSG:3035 -----------------------------------------
@@ -70,20 +70,67 @@ def to_wkt(lon: Column, lat: Column) -> Column:
     return F.format_string("POINT(%.6f %.6f)", lon, lat)
 
 
-def to_3035(lon: Column, lat: Column) -> Column:
-    """ETRS89 / LAEA Europe as struct<x,y>; NULL at the antipode, where the projection is singular."""
-    sin_lat = F.sin(F.radians(lat))
+def _let(value: Column, body) -> Column:
+    """Evaluate `value` once and use it in `body`, by way of a one-element array."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _sin_beta(sin_lat: Column) -> Column:
+    """Sine of the authalic latitude."""
     q = (1 - _E2) * (
         sin_lat / (1 - _E2 * sin_lat * sin_lat) - F.log((1 - _E * sin_lat) / (1 + _E * sin_lat)) / (2 * _E)
     )
-    sin_b = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), q / _QP))
-    cos_b = F.sqrt(1 - sin_b * sin_b)
-    dlon = F.radians(lon - LAEA_LON0)
-    spread = 1 + _SIN_B0 * sin_b + _COS_B0 * cos_b * F.cos(dlon)
-    b = LAEA_RADIUS_M * F.sqrt(2 / spread)
-    x = LAEA_FALSE_EASTING + b * _D * cos_b * F.sin(dlon)
-    y = LAEA_FALSE_NORTHING + b / _D * (_COS_B0 * sin_b - _SIN_B0 * cos_b * F.cos(dlon))
-    return F.when(spread > 1e-12, _xy(x, y))
+    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), q / _QP))
+
+
+def _spread(sin_b: Column, cos_b: Column, dlon: Column) -> Column:
+    return 1 + _SIN_B0 * sin_b + _COS_B0 * cos_b * F.cos(dlon)
+
+
+def _scale(spread: Column) -> Column:
+    """NULL at the antipode, where the projection is singular."""
+    return F.when(spread > 1e-12, LAEA_RADIUS_M * F.sqrt(2 / spread))
+
+
+def _easting(b: Column, cos_b: Column, dlon: Column) -> Column:
+    return LAEA_FALSE_EASTING + b * _D * cos_b * F.sin(dlon)
+
+
+def _northing(b: Column, sin_b: Column, cos_b: Column, dlon: Column) -> Column:
+    return LAEA_FALSE_NORTHING + b / _D * (_COS_B0 * sin_b - _SIN_B0 * cos_b * F.cos(dlon))
+
+
+def to_3035(lon: Column, lat: Column) -> Column:
+    """ETRS89 / LAEA Europe as struct<x,y>; NULL coordinates at the antipode."""
+
+    def placed(v: Column) -> Column:
+        sin_b, cos_b, dlon, b = (v.getField(n) for n in ("s", "c", "d", "b"))
+        return _xy(_easting(b, cos_b, dlon), _northing(b, sin_b, cos_b, dlon))
+
+    def scaled(v: Column) -> Column:
+        sin_b, cos_b, dlon = (v.getField(n) for n in ("s", "c", "d"))
+        b = _scale(_spread(sin_b, cos_b, dlon))
+        return _let(F.struct(sin_b.alias("s"), cos_b.alias("c"), dlon.alias("d"), b.alias("b")), placed)
+
+    def angled(sin_b: Column) -> Column:
+        return F.struct(
+            sin_b.alias("s"), F.sqrt(1 - sin_b * sin_b).alias("c"), F.radians(lon - LAEA_LON0).alias("d")
+        )
+
+    sin_b = _let(F.sin(F.radians(lat)), _sin_beta)
+    return _let(_let(sin_b, angled), scaled)
+
+
+def with_3035(df: DataFrame, x: str = "x", y: str = "y", lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """Add EPSG:3035 columns. Built in steps that stay inside generated code, each evaluated once."""
+    sin_b, cos_b, dlon, b = (F.col(n) for n in ("_sin_b", "_cos_b", "_dlon", "_b"))
+    return (
+        df.withColumn("_sin_lat", F.sin(F.radians(F.col(lat))))
+        .withColumns({"_sin_b": _sin_beta(F.col("_sin_lat")), "_dlon": F.radians(F.col(lon) - LAEA_LON0)})
+        .withColumn("_cos_b", F.sqrt(1 - sin_b * sin_b))
+        .withColumn("_b", _scale(_spread(sin_b, cos_b, dlon)))
+        .select(*df.columns, _easting(b, cos_b, dlon).alias(x), _northing(b, sin_b, cos_b, dlon).alias(y))
+    )
 
 
 def from_3035(x: Column, y: Column) -> Column:
@@ -129,19 +176,36 @@ def project(lon: Column, lat: Column, crs: int) -> Column:
 
 def planar_m(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Euclidean distance in a projected CRS."""
-    return F.hypot(x1 - x2, y1 - y2)
+    dx, dy = x1 - x2, y1 - y2
+    return F.sqrt(dx * dx + dy * dy)
+
 
+def half_chord2(b1: Column, l1: Column, b2: Column, l2: Column) -> Column:
+    """Haversine: squared half chord between two points given in radians."""
+    s = F.sin((b2 - b1) / 2)
+    t = F.sin((l2 - l1) / 2)
+    return s * s + F.cos(b1) * F.cos(b2) * t * t
 
-def central_angle(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Haversine central angle; arguments in radians."""
-    s = F.sin((lat2 - lat1) / 2)
-    t = F.sin((lon2 - lon1) / 2)
-    h = s * s + F.cos(lat1) * F.cos(lat2) * t * t
-    return 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+
+def chord_to_m(h: Column, b1: Column, b2: Column, method: str = "spheroid") -> Column:
+    """Metres from the squared half chord and the latitudes on the auxiliary sphere.
+
+    Spheroid: Lambert's closed form on WGS84, within 0.3 m of the geodesic at hazard radii.
+    """
+    sigma = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    if method == "haversine":
+        return MEAN_RADIUS_M * sigma
+    sin_sigma = 2 * F.sqrt(h * (1 - h))
+    q = F.sin((b2 - b1) / 2)
+    p = F.sin((b1 + b2) / 2)
+    near = (sigma - sin_sigma) * p * p * (1 - q * q) / (1 - h)
+    far = (sigma + sin_sigma) * (1 - p * p) * q * q / h
+    return F.when(h == 0, F.lit(0.0)).otherwise(WGS84_A * (sigma - WGS84_F / 2 * (near + far)))
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    return MEAN_RADIUS_M * central_angle(F.radians(lat1), F.radians(lon1), F.radians(lat2), F.radians(lon2))
+    b1, b2 = F.radians(lat1), F.radians(lat2)
+    return chord_to_m(half_chord2(b1, F.radians(lon1), b2, F.radians(lon2)), b1, b2, "haversine")
 
 
 def reduced_latitude(lat: Column, method: str = "spheroid") -> Column:
@@ -153,25 +217,10 @@ def reduced_latitude(lat: Column, method: str = "spheroid") -> Column:
     raise ValueError(f"unknown distance method: {method}")
 
 
-def angle_to_m(sigma: Column, b1: Column, b2: Column, method: str = "spheroid") -> Column:
-    """Metres from the central angle between two reduced latitudes.
-
-    Spheroid: Lambert's closed form on WGS84, within 0.3 m of the geodesic at hazard radii.
-    """
-    if method == "haversine":
-        return MEAN_RADIUS_M * sigma
-    sin_p, cos_p = F.sin((b1 + b2) / 2), F.cos((b1 + b2) / 2)
-    sin_q, cos_q = F.sin((b2 - b1) / 2), F.cos((b2 - b1) / 2)
-    cos_h, sin_h = F.cos(sigma / 2), F.sin(sigma / 2)
-    near = (sigma - F.sin(sigma)) * sin_p * sin_p * cos_q * cos_q / (cos_h * cos_h)
-    far = (sigma + F.sin(sigma)) * cos_p * cos_p * sin_q * sin_q / (sin_h * sin_h)
-    return F.when(sigma == 0, F.lit(0.0)).otherwise(WGS84_A * (sigma - WGS84_F / 2 * (near + far)))
-
-
 def spheroid_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     """Distance on the WGS84 spheroid."""
     b1, b2 = reduced_latitude(lat1), reduced_latitude(lat2)
-    return angle_to_m(central_angle(b1, F.radians(lon1), b2, F.radians(lon2)), b1, b2)
+    return chord_to_m(half_chord2(b1, F.radians(lon1), b2, F.radians(lon2)), b1, b2)
 
 
 def geodesic_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column, method: str = "spheroid") -> Column:

@@ -169,4 +169,5 @@ def urban_kde(urban: DataFrame, bandwidth_m: float = KDE_BANDWIDTH_M, cutoff: fl
     placed = centred.withColumn("_p", to_3857(F.col("_c.x"), F.col("_c.y"))).select(
         *urban.columns, F.col("_p.x").alias("x"), F.col("_p.y").alias("y")
     )
-    return gaussian_kde(placed, bandwidth_m, cutoff).drop("x", "y")
+    # written once: the density is joined back to exactly these rows
+    return gaussian_kde(stage(placed, "centroids"), bandwidth_m, cutoff).drop("x", "y")

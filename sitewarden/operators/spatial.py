@@ -18,13 +18,15 @@ from pyspark.sql import functions as F
 from sitewarden.constants import BUFFER_DISTANCES_M, JOIN_SALTS
 from sitewarden.functions.cells import GeoGrid, PlaneGrid
 from sitewarden.functions.geodesy import (
-    angle_to_m,
-    central_angle,
+    MEAN_RADIUS_M,
+    chord_to_m,
     from_3035,
     geodesic_m,
+    half_chord2,
     planar_m,
     reduced_latitude,
     to_3035,
+    with_3035,
 )
 from sitewarden.functions.polygons import max_vertex_m, st_distance, with_plane_rings
 from sitewarden.session import resolve_strategy
@@ -75,12 +77,14 @@ def pairs_within(
         }
     )
     b1, b2 = F.col("_b1"), F.col("_b2")
+    # the half chord alone, with slack for the spheroid, rejects most candidates cheaply
+    far = math.sin(min(1.01 * radius_m / MEAN_RADIUS_M / 2, math.pi / 2)) ** 2
     return (
         join_on_cell(keyed, covered, strategy, salts)
-        .withColumn("_angle", central_angle(b1, F.col("_l1"), b2, F.col("_l2")))
-        .withColumn("distance_m", angle_to_m(F.col("_angle"), b1, b2, method))
-        .where(F.col("distance_m") <= radius_m)
-        .drop("_l1", "_b1", "_l2", "_b2", "_angle")
+        .withColumn("_h", half_chord2(b1, F.col("_l1"), b2, F.col("_l2")))
+        .withColumn("distance_m", chord_to_m(F.col("_h"), b1, b2, method))
+        .where((F.col("_h") <= far) & (F.col("distance_m") <= radius_m))
+        .drop("_l1", "_b1", "_l2", "_b2", "_h")
     )
 
 
@@ -132,10 +136,7 @@ def with_plane(df: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
     At the antipode x and y are NULL, which no join matches. Filtering on them would make the
     optimizer evaluate the projection a second time below the filter.
     """
-    placed = df.where(F.col("lon").isNotNull() & F.col("lat").isNotNull())
-    return placed.withColumn("_p", to_3035(F.col("lon"), F.col("lat"))).select(
-        *df.columns, F.col("_p.x").alias(x), F.col("_p.y").alias(y)
-    )
+    return with_3035(df.where(F.col("lon").isNotNull() & F.col("lat").isNotNull()), x, y)
 
 
 def _plane_sites(sites: DataFrame, radius_m: float) -> DataFrame:
@@ -326,7 +327,7 @@ def _in_regular_polygon(dx: Column, dy: Column, radius_m: float, segments: int)
     """Strictly inside the regular polygon of 4*segments vertices on the circle, one at angle 0."""
     step = math.pi / (2 * segments)
     angle = F.pmod(F.atan2(dy, dx), F.lit(step)) - step / 2
-    return F.hypot(dx, dy) * F.cos(angle) < radius_m * math.cos(step / 2)
+    return F.sqrt(dx * dx + dy * dy) * F.cos(angle) < radius_m * math.cos(step / 2)
 
 
 def refresh_distance(urban: DataFrame, sites: DataFrame, strategy: str = "auto") -> DataFrame:
@@ -398,16 +399,12 @@ def projection_scale(linked: DataFrame, method: str = "spheroid") -> DataFrame:
     its centre the range shows how much planar distances are off.
     """
     ground = geodesic_m(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"), method)
-    placed = linked.withColumns(
-        {
-            "_m": ground,
-            "_p": to_3035(F.col("lon"), F.col("lat")),
-            "_q": to_3035(F.col("site_lon"), F.col("site_lat")),
-        }
-    ).where(F.col("_m") > 0)
-    ratio = planar_m(F.col("_p.x"), F.col("_p.y"), F.col("_q.x"), F.col("_q.y")) / F.col("_m")
+    placed = with_3035(with_3035(linked, "_x1", "_y1"), "_x2", "_y2", "site_lon", "site_lat").withColumn("_m", ground)
+    ratio = F.when(
+        F.col("_m") > 0, planar_m(F.col("_x1"), F.col("_y1"), F.col("_x2"), F.col("_y2")) / F.col("_m")
+    )
     return (
         placed.select(F.col("nearest_site_id").alias("site_id"), ratio.alias("ratio"))
         .groupBy("site_id")
-        .agg(F.count(F.lit(1)).alias("features"), F.min("ratio").alias("min_ratio"), F.max("ratio").alias("max_ratio"))
+        .agg(F.count("ratio").alias("features"), F.min("ratio").alias("min_ratio"), F.max("ratio").alias("max_ratio"))
     )

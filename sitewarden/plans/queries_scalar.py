@@ -79,8 +79,8 @@ def _copies(t):
     UNION ALL SELECT 'invalid_geometry', whc_id, count(*) FROM ranked WHERE NOT ok GROUP BY whc_id
     UNION ALL SELECT 'invalid_category', whc_id, count(*) FROM ranked
       WHERE category NOT IN ('Cultural', 'Natural', 'Mixed') GROUP BY whc_id
-    UNION ALL SELECT 'total', NULL, count(*) FROM ranked
-    UNION ALL SELECT 'rejected', NULL, count(*) - count(CASE WHEN rn = 1 AND ok THEN 1 END) FROM ranked""",
+    UNION ALL SELECT 'total', -1, count(*) FROM ranked
+    UNION ALL SELECT 'rejected', -1, count(*) - count(CASE WHEN rn = 1 AND ok THEN 1 END) FROM ranked""",
 )
 def val_sites(t):
     records = _copies(t)
@@ -94,7 +94,7 @@ def val_sites(t):
             )
         )
     )
-    totals = report.select("issue", F.lit(None).cast("int").alias("whc_id"), "records")
+    totals = report.select("issue", F.lit(-1).alias("whc_id"), "records")
     return kept.unionByName(offenders).unionByName(totals)
 
 

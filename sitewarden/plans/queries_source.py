@@ -77,7 +77,8 @@ def src_sites_json(t):
 def src_sites_fallback(t):
     empty = _site_rows(t).drop("latitude", "longitude")
     xml = t.landed(empty, "sites_xml", "xml", rowTag="row", rootTag="query")
-    return _sites_out(st.read_sites(t.spark, xml, t.landed(_site_rows(t), "sites_json", "json")))
+    json = t.landed(_site_rows(t), "sites_json", "json")
+    return _sites_out(st.read_sites(t.spark, xml, json, multiline=False))
 
 
 def _features(t):
@@ -132,7 +133,8 @@ def src_quakes_by_year(t):
     rows = _features(t).withColumn("pull", F.explode(F.array(pull, pull + 1))).drop("event_time")
     path = new_path(t.spark, "pulls")
     rows.write.partitionBy("pull").json(path)
-    pulls = [f"{path}/pull={p}" for p in range(5)]
+    # as many rows as there are pulls
+    pulls = [f"{path}/pull={row.pull}" for row in rows.select("pull").distinct().collect()]
     return _quakes_out(hz.read_quakes_partitioned(t.spark, pulls, lines=True))
 
 

@@ -13,7 +13,7 @@ from sitewarden.operators import reports as rp
 from sitewarden.operators import spatial as sp
 from sitewarden.operators.neardup import drop_near_duplicates
 from sitewarden.operators.scaling import merge_scores
-from sitewarden.plans.oracle import SCORES6, haversine, laea, lambert, r, with_ctes
+from sitewarden.plans.oracle import _DD, _RQ, SCORES6, haversine, laea, lambert, r, with_ctes
 from sitewarden.plans.queries_scalar import nearest_sql
 from sitewarden.plans.registry import SCORES, query, rounded, texts
 
@@ -71,12 +71,8 @@ _LINKED = "(SELECT u.id, u.nearest_site_id, u.lon, u.lat, s.lon AS site_lon, s.l
     FROM {laea('urban0')} u JOIN sites_p s ON u.nearest_site_id = s.site_id""",
 )
 def sp_distance_planar(t):
-    j = (
-        _feature_site(t)
-        .withColumn("p", g.to_3035(F.col("lon"), F.col("lat")))
-        .withColumn("q", g.to_3035(F.col("site_lon"), F.col("site_lat")))
-    )
-    d = g.planar_m(F.col("p.x"), F.col("p.y"), F.col("q.x"), F.col("q.y"))
+    j = g.with_3035(g.with_3035(_feature_site(t), "px", "py"), "qx", "qy", "site_lon", "site_lat")
+    d = g.planar_m(F.col("px"), F.col("py"), F.col("qx"), F.col("qy"))
     return rounded(j.select("id", d.alias("distance_m")), "distance_m", digits=3)
 
 
@@ -114,13 +110,17 @@ def sp_centroid(t):
 
 @query(
     "sp_buffer",
-    f"""{W('sites')} SELECT site_id, CAST(d.m AS INTEGER) AS buffer_m, 65 AS vertices,
-    {r(f'{0.5 * 64 * math.sin(2 * math.pi / 64)!r}::DOUBLE', 4, 'area_ratio')} FROM sites, (VALUES (5000), (10000), (25000), (50000)) d(m)""",
+    # a ring that leaves the projected disc has no lon/lat form
+    f"""{W('sites', 'sites_p')} SELECT site_id, CAST(d.m AS INTEGER) AS buffer_m, 65 AS vertices,
+    CASE WHEN sqrt(power((x - 4321000) / {_DD!r}::DOUBLE, 2) + power((y - 3210000) * {_DD!r}::DOUBLE, 2)) + d.m > {2 * _RQ!r}::DOUBLE THEN -1
+      ELSE {r(f'{0.5 * 64 * math.sin(2 * math.pi / 64)!r}::DOUBLE', 4).split(' AS ')[0]} END AS area_ratio
+    FROM sites_p, (VALUES (5000), (10000), (25000), (50000)) d(m)""",
 )
 def sp_buffer(t):
     rings = sp.create_buffers(t.sites)
     plane = pg.with_plane_rings(rings.withColumn("rings", F.array("ring")))
     ratio = pg.st_area(F.col("rings_m")) / (F.col("buffer_m") * F.col("buffer_m").cast("double"))
+    ratio = F.coalesce(ratio, F.lit(-1.0))
     return rounded(
         plane.select("site_id", "buffer_m", F.size("ring").alias("vertices"), ratio.alias("area_ratio")),
         "area_ratio",

@@ -105,7 +105,9 @@ def read_sites_json(spark: SparkSession, path: str, strict_reference: bool = Fal
     )
 
 
-def read_sites(spark: SparkSession, xml: str | None = None, json: str | None = None) -> DataFrame:
+def read_sites(
+    spark: SparkSession, xml: str | None = None, json: str | None = None, multiline: bool = True
+) -> DataFrame:
     """The XML list, or the JSON list if the XML gives no site."""
     if xml is not None:
         sites = read_sites_xml(spark, xml)
@@ -113,4 +115,4 @@ def read_sites(spark: SparkSession, xml: str | None = None, json: str | None = N
             return sites
     if json is None:
         raise ValueError("give an XML or a JSON path")
-    return read_sites_json(spark, json)
+    return read_sites_json(spark, json, multiline=multiline)
