@@ -134,28 +134,45 @@ def with_3035(df: DataFrame, x: str = "x", y: str = "y", lon: str = "lon", lat:
 
 
 def from_3035(x: Column, y: Column) -> Column:
-    """Inverse of `to_3035`: struct<x=lon,y=lat>."""
-    dx, dy = x - LAEA_FALSE_EASTING, y - LAEA_FALSE_NORTHING
-    rho = F.hypot(dx / _D, dy * _D)
-    half = rho / (2 * LAEA_RADIUS_M)
-    c = 2 * F.asin(F.least(F.lit(1.0), half))
-    beta = F.asin(
-        F.greatest(
-            F.lit(-1.0), F.least(F.lit(1.0), F.cos(c) * _SIN_B0 + _D * dy * F.sin(c) * _COS_B0 / rho)
-        )
-    )
-    lon = F.degrees(
-        F.atan2(dx * F.sin(c), _D * rho * _COS_B0 * F.cos(c) - _D * _D * dy * _SIN_B0 * F.sin(c))
-    ) + LAEA_LON0
+    """Inverse of `to_3035`: struct<x=lon,y=lat>; NULL outside the projected disc."""
     e2, e4, e6 = _E2, _E2**2, _E2**3
-    lat = F.degrees(
-        beta
-        + (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * beta)
-        + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * beta)
-        + (761 * e6 / 45360) * F.sin(6 * beta)
-    )
-    wrapped = F.pmod(lon + 180.0, F.lit(360.0)) - 180.0
-    return F.when(rho == 0, _xy(F.lit(LAEA_LON0), F.lit(LAEA_LAT0))).when(half <= 1, _xy(wrapped, lat))
+
+    def lonlat(v: Column) -> Column:
+        lat = F.degrees(
+            v.getField("beta")
+            + (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * v.getField("beta"))
+            + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * v.getField("beta"))
+            + (761 * e6 / 45360) * F.sin(6 * v.getField("beta"))
+        )
+        lon = F.pmod(F.degrees(v.getField("lam")) + LAEA_LON0 + 180.0, F.lit(360.0)) - 180.0
+        return _xy(lon, lat)
+
+    def angles(v: Column) -> Column:
+        dx, dy, rho, sin_c, cos_c = (v.getField(n) for n in ("dx", "dy", "rho", "sin_c", "cos_c"))
+        sin_beta = cos_c * _SIN_B0 + _D * dy * sin_c * _COS_B0 / rho
+        beta = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sin_beta)))
+        lam = F.atan2(dx * sin_c, _D * rho * _COS_B0 * cos_c - _D * _D * dy * _SIN_B0 * sin_c)
+        return _let(F.struct(beta.alias("beta"), lam.alias("lam")), lonlat)
+
+    def turned(v: Column) -> Column:
+        c = 2 * F.asin(F.least(F.lit(1.0), v.getField("rho") / (2 * LAEA_RADIUS_M)))
+        return F.struct(
+            v.getField("dx").alias("dx"),
+            v.getField("dy").alias("dy"),
+            v.getField("rho").alias("rho"),
+            F.sin(c).alias("sin_c"),
+            F.cos(c).alias("cos_c"),
+        )
+
+    def placed(v: Column) -> Column:
+        rho = v.getField("rho")
+        return F.when(rho == 0, _xy(F.lit(LAEA_LON0), F.lit(LAEA_LAT0))).when(
+            rho <= 2 * LAEA_RADIUS_M, _let(turned(v), angles)
+        )
+
+    dx, dy = x - LAEA_FALSE_EASTING, y - LAEA_FALSE_NORTHING
+    rho = F.sqrt(dx * dx / (_D * _D) + dy * dy * (_D * _D))
+    return _let(F.struct(dx.alias("dx"), dy.alias("dy"), rho.alias("rho")), placed)
 
 
 def to_3857(lon: Column, lat: Column) -> Column:
@@ -192,15 +209,17 @@ def chord_to_m(h: Column, b1: Column, b2: Column, method: str = "spheroid") -> C
 
     Spheroid: Lambert's closed form on WGS84, within 0.3 m of the geodesic at hazard radii.
     """
-    sigma = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    h = F.least(F.lit(1.0), h)
+    sigma = 2 * F.asin(F.sqrt(h))
     if method == "haversine":
         return MEAN_RADIUS_M * sigma
     sin_sigma = 2 * F.sqrt(h * (1 - h))
     q = F.sin((b2 - b1) / 2)
     p = F.sin((b1 + b2) / 2)
-    near = (sigma - sin_sigma) * p * p * (1 - q * q) / (1 - h)
-    far = (sigma + sin_sigma) * (1 - p * p) * q * q / h
-    return F.when(h == 0, F.lit(0.0)).otherwise(WGS84_A * (sigma - WGS84_F / 2 * (near + far)))
+    # the two terms vanish where they are undefined: at the antipode and at the point itself
+    near = F.coalesce(F.try_divide((sigma - sin_sigma) * p * p * (1 - q * q), 1 - h), F.lit(0.0))
+    far = F.coalesce(F.try_divide((sigma + sin_sigma) * (1 - p * p) * q * q, h), F.lit(0.0))
+    return WGS84_A * (sigma - WGS84_F / 2 * (near + far))
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

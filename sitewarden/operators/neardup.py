@@ -2,9 +2,9 @@
 
 A detection is skipped if a kept one of the same satellite, date and time lies within the radius.
 That is sequential by definition; here it runs in rounds. In each round the earliest undecided row
-of every grid cell is a candidate. A candidate with no earlier undecided row in reach is kept, and
+of every small cell is a candidate. A candidate with no earlier undecided row in reach is kept, and
 every undecided row in reach of a kept one is dropped. A round compares rows with at most one
-candidate per cell around them, so a place holding a large share of the rows stays linear. The
+candidate per small cell around them, so a place holding a large share of the rows stays linear. The
 result equals the row-by-row rule for any data; the rounds follow the longest chain of
 dependencies, usually one or two.
 """
@@ -26,11 +26,13 @@ class _Reach:
     def __init__(self, radius_m: float, method: str):
         self.radius_m = radius_m
         self.method = method
-        # two points of one cell are always within the radius of each other
-        self.grid = GeoGrid(radius_m / 2000.0 * 0.98)
+        # two points of one small cell are always within the radius of each other
+        self.small = GeoGrid(radius_m / 2000.0 * 0.98)
+        self.grid = GeoGrid(radius_m / 1000.0)
 
     def with_cell(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("cell", self.grid.cell_of(F.col("lon"), F.col("lat")))
+        place = (F.col("lon"), F.col("lat"))
+        return df.withColumns({"cell": self.grid.cell_of(*place), "small_cell": self.small.cell_of(*place)})
 
     def around(self, df: DataFrame, *extra: str) -> DataFrame:
         """One row per cell in reach, columns prefixed with `o_`."""
@@ -61,7 +63,7 @@ def not_near_stored(
     """New detections without a stored one of the same satellite, date and time within the radius."""
     reach = _Reach(radius_m, method)
     places = stored.select(*_KEYS, "lon", "lat").distinct()
-    return reach.join(reach.with_cell(new), reach.around(places), "left_anti").drop("cell")
+    return reach.join(reach.with_cell(new), reach.around(places), "left_anti").drop("cell", "small_cell")
 
 
 def drop_near_duplicates(
@@ -81,7 +83,7 @@ def drop_near_duplicates(
     while not open_rows.isEmpty():
         place = F.struct(F.col(order).alias("o"), "lon", "lat")
         heads = (
-            open_rows.groupBy(*_KEYS, "cell")
+            open_rows.groupBy(*_KEYS, "small_cell")
             .agg(F.min(place).alias("h"))
             .select(*_KEYS, F.col("h.o").alias(order), F.col("h.lon").alias("lon"), F.col("h.lat").alias("lat"))
         )

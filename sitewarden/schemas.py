@@ -9,8 +9,22 @@ POINT = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.D
 RINGS = T.ArrayType(T.ArrayType(POINT))
 
 
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES: dict[str, T.DataType] = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "rings": RINGS,
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """'name type, ...' -> schema; needs no running session."""
+    pairs = [c.split() for c in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 SCHEMAS: dict[str, T.StructType] = {
@@ -22,7 +36,7 @@ SCHEMAS: dict[str, T.StructType] = {
     "urban_features": _table(
         "id bigint, osm_id bigint, osm_type string, feature_type string, feature_value string, name string, "
         "nearest_site_id bigint, distance_to_site_m double, "
-        "rings array<array<struct<x:double,y:double>>>, fetched_at timestamp"
+        "rings rings, fetched_at timestamp"
     ),
     "climate_events": _table(
         "site_id bigint, event_date date, source string, temp_max_c double, temp_min_c double, "
