@@ -209,7 +209,7 @@ def chord_to_m(h: Column, b1: Column, b2: Column, method: str = "spheroid") -> C
 
     Spheroid: Lambert's closed form on WGS84, within 0.3 m of the geodesic at hazard radii.
     """
-    h = F.least(F.lit(1.0), h)
+    h = F.when(h > 1, F.lit(1.0)).otherwise(h)
     sigma = 2 * F.asin(F.sqrt(h))
     if method == "haversine":
         return MEAN_RADIUS_M * sigma

@@ -19,6 +19,7 @@ from sitewarden.constants import (
     FOREST_SAMPLE,
     FOREST_SEED,
     FOREST_TREES,
+    PERCENTILE_MAX_ROWS,
     SCORE_COLUMNS,
 )
 from sitewarden.operators.filters import feature_matrix
@@ -133,7 +134,8 @@ def isolation_forest(
 
     kind = features.schema[key].dataType.simpleString()
     scored = features.mapInPandas(score, f"{key} {kind}, raw double")
-    offset = quantiles(scored, ["raw"], (contamination,)).select(F.col("q")[0].alias("v")).scalar()
+    route = "percentile" if n <= PERCENTILE_MAX_ROWS else "rank"
+    offset = quantiles(scored, ["raw"], (contamination,), route).select(F.col("q")[0].alias("v")).scalar()
     return (
         scored.withColumn("isolation_forest_score", F.col("raw") - offset)
         .select(key, "isolation_forest_score")
