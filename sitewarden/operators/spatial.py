@@ -102,7 +102,16 @@ def distance_join(
         return pairs
     if how != "left":
         raise ValueError(f"unsupported join type: {how}")
-    return sites.select("site_id").join(pairs, "site_id", "left")
+    return _with_lonely_sites(pairs, sites)
+
+
+def _with_lonely_sites(rows: DataFrame, sites: DataFrame) -> DataFrame:
+    """Rows plus one row of NULLs for each site without any: a left join that never shuffles the rows.
+
+    Only the distinct site ids move, so a site holding a large share of the rows makes no hot task.
+    """
+    lonely = sites.select("site_id").join(rows.select("site_id").distinct(), "site_id", "left_anti")
+    return rows.unionByName(lonely, allowMissingColumns=True)
 
 
 def distance_sums(
@@ -220,11 +229,11 @@ def nearest_site(
         (F.col("best.distance_m") / 1000.0).alias("distance_km"),
     )
     if rank == "degrees":
-        found = _drop_suppressed(found, sites, strategy)
+        found = _drop_suppressed(found, sites)
     return found.select(key, "site_id", "distance_km")
 
 
-def _drop_suppressed(found: DataFrame, sites: DataFrame, strategy: str) -> DataFrame:
+def _drop_suppressed(found: DataFrame, sites: DataFrame) -> DataFrame:
     """Remove candidates that have a degree-closer site (or an equally close one of smaller id)."""
     level = F.col("level")
     # one place holds at most one rival worth testing: the smallest id
@@ -253,8 +262,8 @@ def _drop_suppressed(found: DataFrame, sites: DataFrame, strategy: str) -> DataF
     dx, dy = F.col("lon") - F.col("rival_lon"), F.col("lat") - F.col("rival_lat")
     closer = dx * dx + dy * dy
     beats = (closer < F.col("d")) | ((closer == F.col("d")) & (F.col("rival_id") < F.col("site_id")))
-    side = F.broadcast(rival_cells) if strategy == "broadcast" else rival_cells
-    return keyed.join(side, (keyed["cell"] == rival_cells["cell"]) & beats, "left_anti")
+    # about 100 rows per site: no hint, Spark broadcasts by the measured size
+    return keyed.join(rival_cells, (keyed["cell"] == rival_cells["cell"]) & beats, "left_anti")
 
 
 def nearest_site_projected(
@@ -347,12 +356,14 @@ def refresh_distance(urban: DataFrame, sites: DataFrame, strategy: str = "auto")
     )
 
 
-def sites_with_features(sites: DataFrame, urban: DataFrame, radius_m: float) -> DataFrame:
+def sites_with_features(sites: DataFrame, urban: DataFrame, radius_m: float, strategy: str = "auto") -> DataFrame:
     """Sites left-joined to their linked features within the radius; sites without any stay."""
     near = urban.where(F.col("distance_to_site_m") <= radius_m).withColumnRenamed("nearest_site_id", "site_id")
-    return sites.select("site_id").join(
-        near.select("site_id", "id", "feature_type", "distance_to_site_m"), "site_id", "left"
-    )
+    ids = sites.select("site_id")
+    if resolve_strategy(sites, strategy) == "broadcast":
+        ids = F.broadcast(ids)
+    linked = near.select("site_id", "id", "feature_type", "distance_to_site_m").join(ids, "site_id", "left_semi")
+    return _with_lonely_sites(linked, sites)
 
 
 def create_buffers(

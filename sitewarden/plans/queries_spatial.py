@@ -245,7 +245,7 @@ def join_refresh_distance(t):
     FROM sites s LEFT JOIN urban u ON u.nearest_site_id = s.site_id AND u.distance_to_site_m <= 10000""",
 )
 def join_left_extra_pred(t):
-    out = sp.sites_with_features(t.sites, t.urban, 10_000).select(
+    out = sp.sites_with_features(t.sites, t.urban, 10_000, t.strategy).select(
         "site_id",
         F.coalesce("id", F.lit(-1)).cast("long").alias("id"),
         F.coalesce("feature_type", F.lit("")).alias("feature_type"),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewarden.constants import SCORE_COLUMNS
 from sitewarden.operators.merge import merge_latest, update_matched
 from sitewarden.operators.neardup import drop_near_duplicates
+from sitewarden.session import stage
 
 _MEASURES = [
     "temp_max_c",
@@ -69,6 +73,34 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     return path
 
 
+def merge_partitions(
+    base: str, new: DataFrame, partition_by: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]
+) -> None:
+    """Merge `new` into a partitioned table in place, rewriting only the partitions it touches.
+
+    The touched partition values are listed on the driver (one row per partition of the table), which
+    prunes the scan. The merged rows are written to the work folder first, then replace the partitions.
+    """
+    spark = new.sparkSession
+    jvm, fs = _filesystem(spark, base)
+    touched = [tuple(row) for row in new.select(*partition_by).distinct().collect()]
+    if not touched:
+        return
+    if fs.exists(jvm.org.apache.hadoop.fs.Path(base)):
+        current = spark.read.parquet(base)
+        wanted = reduce(
+            lambda a, b: a | b,
+            [
+                reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, row, strict=True)])
+                for row in touched
+            ],
+        )
+        merged = stage(merge(current.where(wanted), new), "merged")
+    else:
+        merged = new
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(base)
+
+
 def upsert_sites(current: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
     """Upsert on whc_id; every field but the id is overwritten and updated_at set."""
     updates = [c for c in current.columns if c not in ("site_id", "whc_id", "created_at", "updated_at")]
@@ -134,6 +166,7 @@ __all__ = [
     "append_urban",
     "dedupe_urban",
     "insert_fires",
+    "merge_partitions",
     "read_current",
     "update_matched",
     "upsert_climate",

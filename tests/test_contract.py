@@ -50,3 +50,17 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
+
+
+def test_scores_do_not_depend_on_the_join_route(spark):
+    from sitewarden.plans import registry
+    from sitewarden.plans.scoring import risk_scores
+
+    t = registry.Tables(spark, DATA)
+    tables = (t.sites, t.urban, t.climate, t.quakes, t.fires, t.floods)
+    small = {r.site_id: r for r in risk_scores(*tables, strategy="broadcast").collect()}
+    large = {r.site_id: r for r in risk_scores(*tables, strategy="shuffle").collect()}
+    assert small.keys() == large.keys() and len(small) == 10
+    for site, row in small.items():
+        assert row.risk_level == large[site].risk_level
+        assert abs(row.composite_risk_score - large[site].composite_risk_score) < 1e-9

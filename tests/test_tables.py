@@ -67,6 +67,20 @@ def test_versions(spark, tmp_path):
     assert sinks.versions(spark, base) == [1, 2] and sinks.read_current(spark, base).count() == 5
 
 
+def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
+    base = str(tmp_path / "climate")
+    schema = "site_id bigint, event_date date, source string, temp_max_c double"
+    day = dt.date(2024, 1, 1)
+    first = spark.createDataFrame([(1, day, "open_meteo", 1.0), (2, day, "nasa_power", 2.0)], schema)
+    sinks.merge_partitions(base, first, ["source"], sinks.upsert_climate)
+    before = sorted(f.name for f in (tmp_path / "climate" / "source=nasa_power").glob("*.parquet"))
+    second = spark.createDataFrame([(1, day, "open_meteo", 5.0), (3, day, "open_meteo", 3.0)], schema)
+    sinks.merge_partitions(base, second, ["source"], sinks.upsert_climate)
+    got = {(r.site_id, r.source): r.temp_max_c for r in spark.read.parquet(base).collect()}
+    assert got == {(1, "open_meteo"): 5.0, (3, "open_meteo"): 3.0, (2, "nasa_power"): 2.0}
+    assert before == sorted(f.name for f in (tmp_path / "climate" / "source=nasa_power").glob("*.parquet"))
+
+
 def test_first_copy_claims_the_id_even_when_bad(spark):
     rows = [(1, 7, 95.0, 0.0, "Cultural"), (2, 7, 10.0, 0.0, "Cultural"), (3, 8, 10.0, 0.0, "Ruins")]
     df = spark.createDataFrame(rows, "ord int, whc_id int, lat double, lon double, category string")
