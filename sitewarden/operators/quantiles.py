@@ -37,7 +37,7 @@ def quantiles_by_rank(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles of (name, value) rows without holding a group in one task.
 
     Approximate cut points split the values into buckets; counts per bucket locate the bucket of
-    each wanted rank; only those buckets are ranked, on distinct values with their counts.
+    each wanted rank; only the values of those buckets are shuffled, as distinct values with counts.
     """
     steps = F.array(*[F.lit(i / _BUCKETS) for i in range(1, _BUCKETS)])
     # one row per column of the report
@@ -46,13 +46,10 @@ def quantiles_by_rank(long: DataFrame, probs: Sequence[float]) -> DataFrame:
             F.array_distinct(F.percentile_approx("value", steps, F.lit(10_000))).alias("cuts")
         )
     )
-    counted = (
-        long.groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(cuts, "name")
-        .select("name", "value", "n", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("bucket"))
+    bucketed = long.join(cuts, "name").select(
+        "name", "value", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("bucket")
     )
-    per_bucket = counted.groupBy("name", "bucket").agg(F.sum("n").alias("n"))
+    per_bucket = bucketed.groupBy("name", "bucket").agg(F.count(F.lit(1)).alias("n"))
     by_bucket = Window.partitionBy("name").orderBy("bucket")
     # at most _BUCKETS rows per name
     offsets = per_bucket.select(
@@ -81,7 +78,9 @@ def quantiles_by_rank(long: DataFrame, probs: Sequence[float]) -> DataFrame:
     chosen = targets.select("name", "bucket", "before").distinct()
     in_bucket = Window.partitionBy("name", "bucket").orderBy("value")
     ranked = (
-        counted.join(F.broadcast(chosen), ["name", "bucket"])
+        bucketed.join(F.broadcast(chosen), ["name", "bucket"])
+        .groupBy("name", "bucket", "before", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("last", F.col("before") + F.sum("n").over(in_bucket) - 1)
         .withColumn("first", F.col("last") - F.col("n") + 1)
         .drop("before", "n")

@@ -1,4 +1,4 @@
-"""Sinks: two overlapping halves of a table are merged and the merged state returned."""
+"""Sinks: two overlapping parts that together make the whole table are merged and the state returned."""
 
 from __future__ import annotations
 
@@ -18,17 +18,17 @@ W = with_ctes
 
 @query(
     "snk_upsert_sites",
-    f"""{W('sites')} SELECT whc_id, CASE WHEN site_id % 2 = 0 THEN name || ' new' ELSE name END AS name, country,
-    {r('CASE WHEN site_id % 2 = 0 THEN area_hectares + 1 ELSE area_hectares END', alias='area_hectares')},
-    {r('CASE WHEN site_id % 2 = 0 THEN lon + 0.5 ELSE lon END', alias='lon')}, site_id % 2 = 0 AS touched
-    FROM sites WHERE site_id % 3 <> 0 OR site_id % 2 = 0""",
+    f"""{W('sites')} SELECT whc_id, CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN name || ' new' ELSE name END AS name, country,
+    {r('CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN area_hectares + 1 ELSE area_hectares END', alias='area_hectares')},
+    {r('CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN lon + 0.5 ELSE lon END', alias='lon')}, site_id % 6 IN (0, 2, 3, 4) AS touched
+    FROM sites""",
 )
 def snk_upsert_sites(t):
     columns = ["whc_id", "name", "country", "area_hectares", "lon", "lat"]
     k = F.col("site_id")
     cur = t.sites.where(k % 3 != 0).select(*columns, F.lit(None).cast("timestamp").alias("updated_at"))
     new = (
-        t.sites.where(k % 2 == 0)
+        t.sites.where((k % 2 == 0) | (k % 3 == 0))
         .select(*columns)
         .withColumns(
             {
@@ -44,14 +44,14 @@ def snk_upsert_sites(t):
 
 @query(
     "snk_upsert_climate",
-    f"""{W('climate')} SELECT site_id, strftime(event_date, '%Y-%m-%d') AS event_date, source, {r('CASE WHEN site_id % 2 = 0 THEN temp_max_c + 1 ELSE temp_max_c END', alias='temp_max_c')},
-    {r('CASE WHEN site_id % 2 = 0 THEN precipitation_mm + 1 ELSE precipitation_mm END', alias='precipitation_mm')},
-    CASE WHEN site_id % 3 <> 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS lon FROM climate WHERE site_id % 3 <> 0 OR site_id % 2 = 0""",
+    f"""{W('climate')} SELECT site_id, strftime(event_date, '%Y-%m-%d') AS event_date, source, {r('CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN temp_max_c + 1 ELSE temp_max_c END', alias='temp_max_c')},
+    {r('CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN precipitation_mm + 1 ELSE precipitation_mm END', alias='precipitation_mm')},
+    CASE WHEN site_id % 3 <> 0 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS lon FROM climate""",
 )
 def snk_upsert_climate(t):
     k = F.col("site_id")
     cur = t.climate.where(k % 3 != 0).withColumn("lon", F.lit(1.0))
-    new = t.climate.where(k % 2 == 0).withColumns(
+    new = t.climate.where((k % 2 == 0) | (k % 3 == 0)).withColumns(
         {
             "temp_max_c": F.col("temp_max_c") + 1,
             "precipitation_mm": F.col("precipitation_mm") + 1,
@@ -68,14 +68,14 @@ def snk_upsert_climate(t):
 
 @query(
     "snk_upsert_quakes",
-    f"""{W('quakes')} SELECT usgs_id, {r('CASE WHEN event_id % 2 = 0 THEN magnitude + 1 ELSE magnitude END', alias='magnitude')},
+    f"""{W('quakes')} SELECT usgs_id, {r('CASE WHEN event_id % 6 IN (0, 2, 3, 4) THEN magnitude + 1 ELSE magnitude END', alias='magnitude')},
     {r('CASE WHEN event_id % 3 <> 0 THEN lon ELSE lon + 1 END', alias='lon')},
-    CASE WHEN event_id % 3 <> 0 THEN event_id % 10 ELSE -1 END AS nearest_site_id FROM quakes WHERE event_id % 3 <> 0 OR event_id % 2 = 0""",
+    CASE WHEN event_id % 3 <> 0 THEN event_id % 10 ELSE -1 END AS nearest_site_id FROM quakes""",
 )
 def snk_upsert_quakes(t):
     e = F.substring("usgs_id", 3, 20).cast("long")
     cur = t.quakes.where(e % 3 != 0).withColumn("nearest_site_id", e % 10)
-    new = t.quakes.where(e % 2 == 0).withColumns({"magnitude": F.col("magnitude") + 1, "lon": F.col("lon") + 1})
+    new = t.quakes.where((e % 2 == 0) | (e % 3 == 0)).withColumns({"magnitude": F.col("magnitude") + 1, "lon": F.col("lon") + 1})
     out = sinks.upsert_quakes(cur, new).select(
         "usgs_id", "magnitude", "lon", F.coalesce("nearest_site_id", F.lit(-1)).cast("long").alias("nearest_site_id")
     )
@@ -102,7 +102,7 @@ _FLOOD_KEY = "event_id % 100 AS nearest_site_id, event_date"
     "snk_upsert_floods",
     f"""{W('floods')}, cur AS (SELECT {_FLOOD_KEY}, flood_intensity, lon FROM floods WHERE event_id % 2 = 1
       QUALIFY row_number() OVER (PARTITION BY event_id % 100, event_date ORDER BY event_id DESC) = 1),
-    new AS (SELECT (event_id + 1) % 100 AS nearest_site_id, event_date, flood_intensity, lon FROM floods WHERE event_id % 4 = 0 AND flood_intensity > 0
+    new AS (SELECT (event_id + 1) % 100 AS nearest_site_id, event_date, flood_intensity, lon FROM floods WHERE event_id % 2 = 0 AND flood_intensity > 0
       QUALIFY row_number() OVER (PARTITION BY (event_id + 1) % 100, event_date ORDER BY event_id DESC) = 1)
     SELECT coalesce(n.nearest_site_id, c.nearest_site_id) AS nearest_site_id, strftime(coalesce(n.event_date, c.event_date), '%Y-%m-%d') AS event_date,
     {r('coalesce(n.flood_intensity, c.flood_intensity)', alias='flood_intensity')}, {r('coalesce(n.lon, c.lon)', alias='lon')},
@@ -115,15 +115,15 @@ def snk_upsert_floods(t):
     keys = ["nearest_site_id", "event_date"]
     cur = last_per_key(base.where(e % 2 == 1).withColumn("nearest_site_id", e % 100), keys, "event_id")
     cur = cur.withColumn("distance_to_site_km", F.lit(5.0))
-    new = base.where(e % 4 == 0).withColumn("nearest_site_id", (e + 1) % 100)
+    new = base.where(e % 2 == 0).withColumn("nearest_site_id", (e + 1) % 100)
     out = sinks.upsert_floods(cur, new, order="event_id")
     return texts(rounded(out.drop("lat"), "flood_intensity", "lon"), "event_date")
 
 
 @query(
     "snk_append_urban",
-    f"""{W('urban0')} SELECT osm_id, nearest_site_id, CASE WHEN id % 3 <> 0 AND id % 2 = 0 THEN 2 ELSE 1 END AS copies,
-    CAST(1 AS BIGINT) AS kept FROM urban0 WHERE id % 3 <> 0 OR id % 2 = 0""",
+    f"""{W('urban0')} SELECT osm_id, nearest_site_id, CASE WHEN id % 3 <> 0 AND id % 6 IN (0, 2, 3, 4) THEN 2 ELSE 1 END AS copies,
+    CAST(1 AS BIGINT) AS kept FROM urban0""",
 )
 def snk_append_urban(t):
     k = F.col("id")
@@ -131,7 +131,7 @@ def snk_append_urban(t):
     columns = ["id", "osm_id", "osm_type", "feature_type", "feature_value", "name", "nearest_site_id"]
     rows = t.urban_raw.select(*columns, F.lit(1.0).alias("area_m2"))
     sinks.append_urban(rows.where(k % 3 != 0), path)
-    sinks.append_urban(rows.where(k % 2 == 0), path)
+    sinks.append_urban(rows.where((k % 2 == 0) | (k % 3 == 0)), path)
     stored = t.spark.read.parquet(path)
     keys = ["osm_id", "nearest_site_id"]
     copies = stored.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("copies"))
@@ -141,16 +141,16 @@ def snk_append_urban(t):
 
 @query(
     "snk_upsert_scores",
-    f"""{W('flagged')} SELECT site_id, {', '.join(r(f"CASE WHEN site_id % 2 = 0 THEN {c} / 2 ELSE {c} END", alias=c) for c in (*SCORES6, 'composite_risk_score'))},
-    CASE WHEN site_id % 2 = 0 THEN 'low' ELSE risk_level END AS risk_level,
-    CASE WHEN site_id % 3 <> 0 THEN is_anomaly ELSE false END AS is_anomaly FROM flagged WHERE site_id % 3 <> 0 OR site_id % 2 = 0""",
+    f"""{W('flagged')} SELECT site_id, {', '.join(r(f"CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN {c} / 2 ELSE {c} END", alias=c) for c in (*SCORES6, 'composite_risk_score'))},
+    CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN 'low' ELSE risk_level END AS risk_level,
+    CASE WHEN site_id % 3 <> 0 THEN is_anomaly ELSE false END AS is_anomaly FROM flagged""",
 )
 def snk_upsert_scores(t):
     k = F.col("site_id")
     columns = [*SCORES, "composite_risk_score"]
     cur = t.flagged.where(k % 3 != 0)
     new = (
-        t.scores.where(k % 2 == 0)
+        t.scores.where((k % 2 == 0) | (k % 3 == 0))
         .withColumns({c: F.col(c) / 2 for c in columns})
         .withColumn("risk_level", F.lit(None).cast("string"))
     )
