@@ -70,7 +70,7 @@ def to_wkt(lon: Column, lat: Column) -> Column:
     return F.format_string("POINT(%.6f %.6f)", lon, lat)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """Evaluate `value` once and use it in `body`, by way of a one-element array."""
     return F.element_at(F.transform(F.array(value), body), 1)
 
@@ -110,15 +110,15 @@ def to_3035(lon: Column, lat: Column) -> Column:
     def scaled(v: Column) -> Column:
         sin_b, cos_b, dlon = (v.getField(n) for n in ("s", "c", "d"))
         b = _scale(_spread(sin_b, cos_b, dlon))
-        return _let(F.struct(sin_b.alias("s"), cos_b.alias("c"), dlon.alias("d"), b.alias("b")), placed)
+        return let(F.struct(sin_b.alias("s"), cos_b.alias("c"), dlon.alias("d"), b.alias("b")), placed)
 
     def angled(sin_b: Column) -> Column:
         return F.struct(
             sin_b.alias("s"), F.sqrt(1 - sin_b * sin_b).alias("c"), F.radians(lon - LAEA_LON0).alias("d")
         )
 
-    sin_b = _let(F.sin(F.radians(lat)), _sin_beta)
-    return _let(_let(sin_b, angled), scaled)
+    sin_b = let(F.sin(F.radians(lat)), _sin_beta)
+    return let(let(sin_b, angled), scaled)
 
 
 def with_3035(df: DataFrame, x: str = "x", y: str = "y", lon: str = "lon", lat: str = "lat") -> DataFrame:
@@ -152,7 +152,7 @@ def from_3035(x: Column, y: Column) -> Column:
         sin_beta = cos_c * _SIN_B0 + _D * dy * sin_c * _COS_B0 / rho
         beta = F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sin_beta)))
         lam = F.atan2(dx * sin_c, _D * rho * _COS_B0 * cos_c - _D * _D * dy * _SIN_B0 * sin_c)
-        return _let(F.struct(beta.alias("beta"), lam.alias("lam")), lonlat)
+        return let(F.struct(beta.alias("beta"), lam.alias("lam")), lonlat)
 
     def turned(v: Column) -> Column:
         c = 2 * F.asin(F.least(F.lit(1.0), v.getField("rho") / (2 * LAEA_RADIUS_M)))
@@ -167,12 +167,12 @@ def from_3035(x: Column, y: Column) -> Column:
     def placed(v: Column) -> Column:
         rho = v.getField("rho")
         return F.when(rho == 0, _xy(F.lit(LAEA_LON0), F.lit(LAEA_LAT0))).when(
-            rho <= 2 * LAEA_RADIUS_M, _let(turned(v), angles)
+            rho <= 2 * LAEA_RADIUS_M, let(turned(v), angles)
         )
 
     dx, dy = x - LAEA_FALSE_EASTING, y - LAEA_FALSE_NORTHING
     rho = F.sqrt(dx * dx / (_D * _D) + dy * dy * (_D * _D))
-    return _let(F.struct(dx.alias("dx"), dy.alias("dy"), rho.alias("rho")), placed)
+    return let(F.struct(dx.alias("dx"), dy.alias("dy"), rho.alias("rho")), placed)
 
 
 def to_3857(lon: Column, lat: Column) -> Column:

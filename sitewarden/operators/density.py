@@ -19,12 +19,14 @@ from pyspark.sql import functions as F
 
 from sitewarden.constants import KDE_BANDWIDTH_M
 from sitewarden.functions.cells import PlaneGrid
-from sitewarden.functions.geodesy import to_3857
+from sitewarden.functions.geodesy import let, to_3857
 from sitewarden.functions.polygons import st_centroid
 from sitewarden.session import stage
 
 NODES = 12
 _BOX = ["bx", "by"]
+# tasks a full cell is split over; its sources, at most 64 boxes of nodes, are repeated as often
+_SALTS = 16
 
 
 def _with_basis(df: DataFrame, h: float) -> DataFrame:
@@ -37,22 +39,19 @@ def _with_basis(df: DataFrame, h: float) -> DataFrame:
         ]
     )
 
-    def waves(v: str, box: str) -> Column:
+    def basis(v: str, box: str) -> Column:
         u = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), 2.0 * (F.col(v) / h - F.col(box)) - 1.0))
-        return F.transform(
-            F.transform(F.sequence(F.lit(1), F.lit(NODES - 1)), lambda k: k * F.acos(u)), lambda a: F.cos(a)
+        # named values: inside a lambda an expression would be evaluated once per element
+        waves = let(
+            F.acos(u), lambda theta: F.transform(F.sequence(F.lit(1), F.lit(NODES - 1)), lambda k: F.cos(k * theta))
         )
+        return let(waves, lambda w: F.transform(factors, lambda f: _dot(f, w, 1.0 / NODES)))
+
+    return df.withColumns({"lx": basis("x", "bx"), "ly": basis("y", "by")})
 
-    def basis(waved: str) -> Column:
-        return F.transform(
-            factors,
-            lambda f: F.aggregate(
-                F.zip_with(f, F.col(waved), lambda a, b: a * b), F.lit(1.0 / NODES), lambda acc, t: acc + t
-            ),
-        )
 
-    waved = df.withColumns({"_wx": waves("x", "bx"), "_wy": waves("y", "by")})
-    return waved.withColumns({"lx": basis("_wx"), "ly": basis("_wy")}).drop("_wx", "_wy")
+def _dot(a: Column, b: Column, start: float = 0.0) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(start), lambda acc, t: acc + t)
 
 
 def _node_position(box: Column, angle: Column, h: float) -> Column:
@@ -93,15 +92,22 @@ def kernel_sums(
 ) -> DataFrame:
     """Per target: sum of w exp(-d^2 / 2h^2) over the sources within the 3 x 3 cells around it."""
     grid = PlaneGrid(cutoff * h)
+    salt = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(_SALTS - 1).cast("long")))
     placed = sources.select(
         F.col("x").alias("sx"), F.col("y").alias("sy"), "w", grid.cell_of(F.col("x"), F.col("y")).alias("cell")
-    )
+    ).withColumn("salt", salt)
+    # few bytes but many pairs: a fixed partition count keeps AQE from merging the work into one task
+    spread = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = targets.select(
-        "x", "y", *carry, F.explode(grid.cover(F.col("x"), F.col("y"), cutoff * h)).alias("cell")
-    )
+        "x",
+        "y",
+        *carry,
+        F.pmod(F.xxhash64("x", "y"), F.lit(_SALTS)).alias("salt"),
+        F.explode(grid.cover(F.col("x"), F.col("y"), cutoff * h)).alias("cell"),
+    ).repartition(spread, "cell", "salt")
     dx, dy = F.col("x") - F.col("sx"), F.col("y") - F.col("sy")
     return (
-        reach.join(placed, "cell")
+        reach.join(placed, ["cell", "salt"])
         .groupBy("x", "y", *carry)
         .agg(F.sum(F.col("w") * F.exp((dx * dx + dy * dy) * (-0.5 / (h * h)))).alias("kernel_sum"))
     )
@@ -153,14 +159,14 @@ def _interpolate(dense: DataFrame, at_nodes: DataFrame, h: float) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("i", "kernel_sum"))), lambda v: v["kernel_sum"]).alias("values")
     )
 
-    def row_value(m: Column) -> Column:
-        row = F.slice("values", m * NODES + 1, F.lit(NODES))
-        return F.aggregate(F.zip_with(row, F.col("ly"), lambda v, b: v * b), F.lit(0.0), lambda acc, t: acc + t)
+    def combined(v: Column) -> Column:
+        rows = F.transform(
+            v.getField("lx"), lambda b, m: b * _dot(F.slice("values", m * NODES + 1, F.lit(NODES)), v.getField("ly"))
+        )
+        return F.aggregate(rows, F.lit(0.0), lambda acc, t: acc + t)
 
-    rows = F.transform("lx", lambda b, m: b * row_value(m))
-    return _with_basis(dense.join(per_box, _BOX), h).select(
-        "x", "y", F.aggregate(rows, F.lit(0.0), lambda acc, t: acc + t).alias("kernel_sum")
-    )
+    based = _with_basis(dense.join(per_box, _BOX), h)
+    return based.select("x", "y", let(F.struct("lx", "ly"), combined).alias("kernel_sum"))
 
 
 def urban_kde(urban: DataFrame, bandwidth_m: float = KDE_BANDWIDTH_M, cutoff: float = 8.0) -> DataFrame:
