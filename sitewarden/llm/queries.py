@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewarden.llm import edit_matching, language_kn, mixing, simhash_vp, token_store
+from sitewarden.llm import chat_parts, edit_matching, language_kn, mixing, passage_chains, quality_trees, simhash_vp, token_rollup, token_store, url_graph
 from sitewarden.llm.common import table
-from sitewarden.session import new_path
+from sitewarden.session import new_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,12 +31,57 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+@query("op1_url_graph")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return url_graph.judge(table(spark, folder, "pages"))
+
+
 @query("op2_simhash_vp")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash_vp.classes(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+_ROLLUP_SQL = r"""
+WITH kept AS (
+  SELECT source, lang, text FROM (
+    SELECT source, lang, text, doc_id, min(doc_id) OVER (PARTITION BY text) AS first_id FROM documents
+  ) WHERE text IS NULL OR doc_id IS NULL OR doc_id = first_id
+), counted AS (
+  SELECT source, lang, 'words-1' AS tokenizer, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n FROM kept
+  UNION ALL
+  SELECT source, lang, 'pieces-1', len(regexp_extract_all(coalesce(text, ''), '\p{L}+|\p{N}+|[^\x20\x09-\x0D\p{L}\p{N}]')) FROM kept
+)
+SELECT source, lang, tokenizer, count(*) AS docs, sum(n)::BIGINT AS tokens FROM counted GROUP BY 1, 2, 3
+"""
+
+
+@query("op3_token_rollup", _ROLLUP_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents arrive with estimated counts, the counts are revised, and exact copies are deleted; one batch is sent twice."""
+    docs = table(spark, folder, "documents")
+    text = F.col("text")
+    words, pieces = token_rollup.word_count(text), token_rollup.piece_count(text)
+    estimate = F.floor((F.coalesce(F.length(text), F.lit(0)) + 5) / 6)
+    counts = stage(docs.select("doc_id", "source", "lang", F.md5(text.cast("binary")).alias("digest"), words.alias("words"), pieces.alias("pieces"), estimate.alias("estimate")), "counts")
+    none = F.lit(None).cast("bigint")
+
+    def changes(kind: str, rows: DataFrame, tokenizer: str, tokens: str, old: str | None = None) -> DataFrame:
+        return rows.select(F.lit(kind).alias("kind"), "source", "lang", F.lit(tokenizer).alias("tokenizer"), F.col(tokens).alias("tokens"), (F.col(old) if old else none).alias("old_tokens"))
+
+    rollup = token_rollup.Rollup(spark, new_path(spark, "rollup"))
+    arrivals = changes("insert", counts, "words-1", "estimate").unionByName(changes("insert", counts, "pieces-1", "pieces"))
+    rollup.commit("0001-arrivals", arrivals)
+    revised = changes("revise", counts, "words-1", "words", "estimate")
+    rollup.commit("0002-revised", revised)
+    rollup.commit("0002-revised", revised)
+    rollup.compact()
+    first = counts.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    copies = counts.join(first, "digest").where("doc_id <> first_id")
+    rollup.commit("0003-copies", changes("delete", copies, "words-1", "words").unionByName(changes("delete", copies, "pieces-1", "pieces")))
+    return rollup.totals()
+
+
 _MIX_SQL = """
 WITH sizes AS (
   SELECT coalesce('=' || source, 'null') AS source_key, sum(coalesce(length(text), 0)) AS available FROM documents GROUP BY 1
@@ -74,7 +119,32 @@ FROM copied
 @query("op4_poisson_mix", _MIX_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix(table(spark, folder, "documents"))
-    return mixed.select("row.doc_id", "row.source", "copy", F.round("rate", 6).alias("rate"), F.length("row.text").alias("n_chars"), "shuffle_key")
+    return mixed.select("row.doc_id", "row.source", "copy", F.round("rate", 6).alias("rate"), F.length("row.text").cast("bigint").alias("n_chars"), "shuffle_key")
+
+
+_CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), lengths AS (
+  SELECT *, length('<|turn|>') + length(role) + 1 + length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|<?/?SYS>|/?INST\])', '\1\2\\\3', 'g')) + length('<|end|>') + 1 AS n FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(n)::BIGINT AS formatted_chars
+FROM lengths GROUP BY conv_id
+"""
+
+
+@query("op5_chat_parts", _CHAT_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id bigint, turn bigint, role string, text string")
+    formatted = stage(chat_parts.format_conversations(chat_parts.text_turns(turns.unionByName(extra))), "formatted")
+    return chat_parts.digests(formatted).drop("attachments", "expanded_tokens")
 
 
 @query("op6_edit_matching")
@@ -82,6 +152,12 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return edit_matching.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op7_quality_trees")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_trees.judge(docs, quality_trees.fit(docs, table(spark, folder, "labels")))
+
+
 @query("op8_language_kn")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
@@ -91,6 +167,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+@query("op9_passage_chains")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return passage_chains.repeated_passages(table(spark, folder, "documents"))
+
+
 @query("op10_rans_store")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token_store")
