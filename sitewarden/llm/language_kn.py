@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sitewarden.llm.common import steps, utf8
+from sitewarden.session import stage
 
 UND = "und"
 ORDER = 4
@@ -279,7 +280,7 @@ def fit(training: DataFrame, calibration: DataFrame, min_share: float = MIN_SHAR
     `training` is counted. `calibration` turns evidence into the probability of being right, and gives per language and length class the
     cross-entropy beyond which a text is rejected: mean plus `max_sd` deviations. Both are read in full.
     """
-    rows = _levels(gram_counts(training), min_share).toPandas()
+    rows = _levels(stage(gram_counts(training), "grams"), min_share).toPandas()
     languages = sorted(rows.lang.unique())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"{len(languages)} languages; the model is bounded for {MAX_LANGUAGES}")
