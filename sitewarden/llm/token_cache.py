@@ -1,22 +1,28 @@
 """Whole texts to token ids with a public byte-level BPE, each distinct word encoded once.
 
-The tokenizer splits a text before every space that follows a non-space, or that precedes one, and never merges
-across; so a text cut there gives the same ids piece by piece. Pieces repeat, and a task keeps the ids of those it
-has met. Texts with a space inside a longer run of white space are encoded whole.
+A byte-level tokenizer cuts a text by a pattern and encodes the cuts one by one. So the ids of a text are those of its cuts, and each
+distinct cut goes through the library once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
+split before every space, which is a cut of the pattern unless the space lies inside a longer run of white space (those texts are cut whole).
+Tokenizers with another pre-tokenizer encode whole texts.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
-_INSIDE_RUN = re.compile(r"\s \s")
-MAX_PIECES = 400_000
-LONG_PIECE = 64
+# fixed value: the pattern of the byte-level pre-tokenizer
+_CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_INSIDE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x85] [\s\p{Z}\x0b\x1c-\x1f\x85]"
+MAX_KNOWN = 700_000
+LONG = 64
+GROUP = 512
 
 
 class Encoder:
@@ -26,41 +32,75 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.numbers = list(range(self.tokenizer.get_vocab_size()))  # shared int objects
-        self.known: dict[str, tuple[int, ...]] = {}
+        kind = str(self.tokenizer.pre_tokenizer).replace(" ", "")
+        self.by_cuts = kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and self.tokenizer.normalizer is None
+        self.cuts: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+        self.line_end = self._encode(["\n"])[0]
 
-    def _encode(self, texts: list[str]) -> list[tuple[int, ...]]:
-        pick = self.numbers.__getitem__
-        return [tuple(map(pick, e.ids)) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        cut = [None if _INSIDE_RUN.search(t) else t.split(" ") for t in texts]
-        fresh: set[str] = set()
-        for parts in cut:
-            if parts:
-                fresh.update(parts[1:])
-        if len(self.known) > MAX_PIECES:
-            self.known.clear()
-        fresh.difference_update(self.known)
-        fresh_list = list(fresh)
-        self.known.update(zip(fresh_list, self._encode([" " + p for p in fresh_list]), strict=True))
-        whole = iter(self._encode([t for t, parts in zip(texts, cut, strict=True) if parts is None]))
-        heads = iter(self._encode([parts[0] for parts in cut if parts is not None]))
-        get, out = self.known.__getitem__, []
-        for parts in cut:
-            if parts is None:
-                found = next(whole)
+    def _learn(self, cuts: set[str]) -> None:
+        """Encode new cuts. Those without white space but a leading space stand on lines of their own in one call."""
+        new = [c for c in cuts if c not in self.cuts]
+        alone = [c for c in new if c.isspace() or "\n" in c or len(c) > LONG]
+        lined = [c for c in new if not (c.isspace() or "\n" in c or len(c) > LONG)]
+        self.cuts.update(zip(alone, self._encode(alone), strict=True))
+        for start in range(0, len(lined), GROUP):
+            group = lined[start : start + GROUP]
+            raw = self._encode(["\n".join(group)])[0]
+            ends = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line_end, "<u4")[0])).tolist()
+            if len(ends) == len(group) - 1:
+                ids = [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)]
             else:
-                found = list(chain(next(heads), chain.from_iterable(map(get, parts[1:]))))
-            out.append(np.array(found, dtype=np.uint32))
-        for piece in fresh_list:
-            if len(piece) > LONG_PIECE:
-                del self.known[piece]
-        return out
+                ids = self._encode(group)
+            self.cuts.update(zip(group, ids, strict=True))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The token ids of all texts, one after another, and how many each has. Null is empty."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_cuts:
+            raw = self._encode(texts.to_pylist())
+            return np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], dtype=np.int64)
+        for known in (self.cuts, self.chunks):
+            if len(known) > MAX_KNOWN:
+                known.clear()
+        odd = pc.match_substring_regex(texts, _INSIDE_RUN)
+        # texts to cut whole keep one part
+        parts = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
+        sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts = np.cumsum(sizes) - sizes
+        coded = pc.list_flatten(parts).dictionary_encode()
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        later = np.ones(len(which), dtype=bool)
+        later[firsts] = False
+        wanted = np.zeros(len(coded.dictionary), dtype=bool)
+        wanted[which[later]] = True
+        chunks = [c if w else None for c, w in zip(coded.dictionary.to_pylist(), wanted.tolist(), strict=True)]
+        heads = pc.if_else(odd, texts, coded.dictionary.take(coded.indices.take(pa.array(firsts)))).to_pylist()
+        new = {c: (" " + c,) if c.isalpha() else _CUT.findall(" " + c) for c in chunks if c is not None and c not in self.chunks}
+        head_cuts = [_CUT.findall(h) for h in heads]
+        self._learn(set(chain.from_iterable(chain(new.values(), head_cuts))))
+        of_cut = self.cuts.__getitem__
+        for chunk, cuts in new.items():
+            self.chunks[chunk] = of_cut(cuts[0]) if len(cuts) == 1 else b"".join(map(of_cut, cuts))
+        raw = [b"" if c is None else self.chunks[c] for c in chunks] + [b"".join(map(of_cut, cuts)) for cuts in head_cuts]
+        for known, used in ((self.chunks, new), (self.cuts, chain.from_iterable(head_cuts))):
+            for key in [k for k in used if len(k) > LONG]:
+                known.pop(key, None)
+        # every place takes the ids of its chunk, or of its text's head
+        which[firsts] = len(chunks) + np.arange(len(heads))
+        length = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
+        pool = np.frombuffer(b"".join(raw), "<u4")
+        begin = (np.cumsum(length) - length)[which]
+        counts = length[which]
+        ends = np.cumsum(counts)
+        ids = pool[np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, np.add.reduceat(counts, firsts) if len(firsts) else sizes
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One per Python worker, so that later tasks of the worker find its pieces."""
+    """One per Python worker, so that later tasks of the worker find its words."""
     return Encoder(path)

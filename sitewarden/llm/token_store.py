@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sitewarden.llm.common import steps, strings
+from sitewarden.llm.common import steps
 from sitewarden.llm.rans import Segment, encode
 from sitewarden.llm.token_cache import encoder
 
 END_ID = 2
 SEGMENT_TOKENS = 2_000_000
+STEP_BYTES = 8_000_000
 STORE = "part int, seq int, n_docs bigint, n_tokens bigint, segment binary"
 
 
@@ -49,11 +50,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
             return pa.RecordBatch.from_arrays(row, ["part", "seq", "n_docs", "n_tokens", "segment"])
 
         for batch in batches:
-            for piece in steps(batch):
-                for doc_id, ids in zip(piece.column("doc_id").to_pylist(), encode_texts(strings(piece.column("text"))), strict=True):
+            for piece in steps(batch, limit=STEP_BYTES):
+                ids, counts = encode_texts(piece.column("text"))
+                for doc_id, own in zip(piece.column("doc_id").to_pylist(), np.split(ids, np.cumsum(counts)[:-1]), strict=True):
                     doc_ids.append(doc_id)
-                    held.append(np.concatenate([ids, end]))
-                    size += len(ids) + 1
+                    held.append(np.append(own, end))
+                    size += len(own) + 1
                     if size >= SEGMENT_TOKENS:
                         yield close()
                         seq, size = seq + 1, 0
