@@ -34,7 +34,7 @@ PATCH = 28  # pixels of one image token's side
 AUDIO_RATE = 25  # tokens a second
 PAGE_TOKENS = 600
 PART = "struct<kind:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>"
-_CONTROL = r"(?=\||/?s>|<?/?SYS>|/?INST\])"
+_CONTROL = r"(?=\||/?s>|/?SYS>|/?INST\])"
 _OPEN = re.compile(r"([<\[])(\\*)" + _CONTROL)
 _OPENED = re.compile(r"([<\[])(\\*)\\" + _CONTROL)
 _PLACEHOLDER = re.compile(r"<\|(?:image|audio|document):\d+\|>")

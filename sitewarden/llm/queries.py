@@ -127,7 +127,7 @@ WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), lengths AS (
-  SELECT *, length('<|turn|>') + length(role) + 1 + length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|<?/?SYS>|/?INST\])', '\1\2\\\3', 'g')) + length('<|end|>') + 1 AS n FROM turns
+  SELECT *, length('<|turn|>') + length(role) + 1 + length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?SYS>|/?INST\])', '\1\2\\\3', 'g')) + length('<|end|>') + 1 AS n FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,

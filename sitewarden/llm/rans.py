@@ -1,9 +1,9 @@
 """Static range asymmetric numeral system over token ids, with numpy.
 
 A segment holds the ids of some documents. One frequency table, made from all ids of the segment, is shared by its blocks. A block
-has BLOCK_TOKENS ids dealt to LANES interleaved coders with one common stream of 32-bit words; blocks are independent, so each is a
+has up to BLOCK_TOKENS ids dealt to LANES interleaved coders with one common stream of 32-bit words; blocks are independent, so each is a
 checkpoint: the directory has its first word, its lanes' start states, a checksum of its words and one of its ids. All blocks of a
-segment are coded side by side as one numpy vector.
+segment have one length and are coded side by side as one numpy vector.
 
 Layout, little-endian: magic, header, CRC-32 of what follows up to the words, zlib(doc ids), zlib(null marks), zlib(ids per document), zlib(symbols),
 zlib(frequencies), directory (four u32 per block), states (u64 per block and lane), words (u32).
@@ -25,7 +25,7 @@ _LOW = np.uint64(1 << 32)
 _WORD = np.uint64(32)
 _SCALE = np.uint64(SCALE)
 _MASK = np.uint64((1 << SCALE) - 1)
-_HEADER = struct.Struct("<QIII5II")
+_HEADER = struct.Struct("<QIIII5II")
 
 
 class Corrupt(ValueError):
@@ -50,20 +50,22 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
     """A segment. `ids` are those of all documents, one after another."""
     symbols, freqs = frequency_table(ids)
     n_blocks = -(-len(ids) // BLOCK_TOKENS)
+    steps = -(-len(ids) // (n_blocks * LANES)) if n_blocks else 0
+    block = steps * LANES
     rank = np.zeros(int(symbols[-1]) + 1 if len(symbols) else 1, dtype=np.int32)
     rank[symbols] = np.arange(len(symbols), dtype=np.int32)
-    padded = np.full(n_blocks * BLOCK_TOKENS, freqs.argmax() if len(freqs) else 0, dtype=np.int32)
+    padded = np.full(n_blocks * block, freqs.argmax() if len(freqs) else 0, dtype=np.int32)
     padded[: len(ids)] = rank[ids]
-    ranks = padded.reshape(n_blocks, STEPS, LANES)
+    ranks = padded.reshape(n_blocks, steps, LANES)
     freq = freqs.astype(np.uint64)
     base = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64) if len(freq) else freq
     limit = freq << np.uint64(64 - SCALE)
     whole_range = limit == 0  # a single symbol fills the table: nothing to write
     state = np.full((n_blocks, LANES), _LOW, dtype=np.uint64)
-    words = np.zeros((n_blocks, BLOCK_TOKENS), dtype=np.uint32)
-    at = np.full(n_blocks, BLOCK_TOKENS, dtype=np.int64)
+    words = np.zeros((n_blocks, block), dtype=np.uint32)
+    at = np.full(n_blocks, block, dtype=np.int64)
     if not whole_range.any():
-        for step in range(STEPS - 1, -1, -1):
+        for step in range(steps - 1, -1, -1):
             r = ranks[:, step, :]
             f = freq[r]
             full = state >= limit[r]
@@ -82,11 +84,11 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
     directory = np.zeros((n_blocks, 4), dtype="<u4")
     first = 0
     for b, stream in enumerate(streams):
-        own = ids[b * BLOCK_TOKENS : (b + 1) * BLOCK_TOKENS].astype("<u4").tobytes()
+        own = ids[b * block : (b + 1) * block].astype("<u4").tobytes()
         directory[b] = first, len(stream), zlib.crc32(stream.tobytes(), zlib.crc32(state[b].tobytes())), zlib.crc32(own)
         first += len(stream)
     body = b"".join([*parts, directory.tobytes(), state.astype("<u8").tobytes()])
-    header = _HEADER.pack(len(ids), len(doc_ids), n_blocks, LANES, *map(len, parts), zlib.crc32(body))
+    header = _HEADER.pack(len(ids), len(doc_ids), n_blocks, LANES, steps, *map(len, parts), zlib.crc32(body))
     return b"".join([MAGIC, header, body, *(s.astype("<u4").tobytes() for s in streams)])
 
 
@@ -97,13 +99,13 @@ class Segment:
         if blob[:4] != MAGIC:
             raise Corrupt("not a segment")
         head = _HEADER.unpack_from(blob, 4)
-        self.n_tokens, n_docs, self.n_blocks, lanes = head[:4]
+        self.n_tokens, n_docs, self.n_blocks, lanes, self.steps = head[:5]
         at = 4 + _HEADER.size
-        end = at + sum(head[4:9]) + self.n_blocks * (16 + 8 * lanes)
-        if zlib.crc32(blob[at:end]) != head[9] or lanes != LANES:
+        end = at + sum(head[5:10]) + self.n_blocks * (16 + 8 * lanes)
+        if zlib.crc32(blob[at:end]) != head[10] or lanes != LANES:
             raise Corrupt("header")
         raw = []
-        for size in head[4:9]:
+        for size in head[5:10]:
             raw.append(zlib.decompress(blob[at : at + size]))
             at += size
         numbers, known = np.cumsum(np.frombuffer(raw[0], "<i8")), np.frombuffer(raw[1], np.uint8)
@@ -122,8 +124,8 @@ class Segment:
     def blocks(self, first: int = 0, last: int | None = None) -> np.ndarray:
         """The ids of some blocks, without touching others."""
         last = self.n_blocks if last is None else last
-        n = last - first
-        size = min(self.n_tokens, last * BLOCK_TOKENS) - first * BLOCK_TOKENS
+        n, block = last - first, self.steps * LANES
+        size = min(self.n_tokens, last * block) - first * block
         if n <= 0:
             return np.zeros(0, dtype=np.uint32)
         if len(self.symbols) == 1:
@@ -136,9 +138,9 @@ class Segment:
             if zlib.crc32(stream.tobytes(), zlib.crc32(self.states[first + b].tobytes())) != check:
                 raise Corrupt(f"words of block {first + b}")
             words[b, :length] = stream
-        out = np.zeros((n, STEPS, LANES), dtype=np.int32)
+        out = np.zeros((n, self.steps, LANES), dtype=np.int32)
         at = np.zeros(n, dtype=np.int64)
-        for step in range(STEPS):
+        for step in range(self.steps):
             slot = state & _MASK
             r = self.rank[slot]
             out[:, step, :] = r
@@ -150,7 +152,7 @@ class Segment:
             at += run[:, -1]
         ids = self.symbols[out.reshape(-1)[:size]].astype(np.uint32)
         for b in range(n):
-            part = ids[b * BLOCK_TOKENS : (b + 1) * BLOCK_TOKENS]
+            part = ids[b * block : (b + 1) * block]
             if zlib.crc32(part.astype("<u4").tobytes()) != own[b, 3]:
                 raise Corrupt(f"ids of block {first + b}")
         return ids
