@@ -18,8 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sitewarden.session import fits, stage
+
 ALPHA = 0.5
 SEED = 17
+MAX_BROADCAST_SOURCES = 10_000
+SALTS = 64
 _DIGITS = 13  # hexadecimal digits of the uniform numbers: 52 bits
 
 
@@ -71,11 +75,19 @@ def with_distribution(rated: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha: float = ALPHA, total: int | None = None, seed: int = SEED) -> DataFrame:
     """(row, copy, rate, shuffle_key): each document as the struct `row`, once per copy, in shuffled order."""
-    table = with_distribution(rates(docs, weights, alpha, total))
+    table = stage(with_distribution(rates(docs, weights, alpha, total)), "rates")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), source_key(docs["source"]).alias("source_key"))
+    keys = ["source_key"]
+    if fits(table, MAX_BROADCAST_SOURCES):
+        table = F.broadcast(table)
+    else:
+        # many sources: both sides move, a hot source's documents over SALTS keys
+        keys.append("salt")
+        packed = packed.withColumn("salt", F.pmod(F.xxhash64("row.doc_id"), F.lit(SALTS)).cast("int"))
+        table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     uniform = (hashed(F.lit(seed), F.col("row.doc_id")) + F.lit(0.5)) / F.lit(float(16**_DIGITS))
     drawn = (
-        packed.join(table, "source_key")
+        packed.join(table, keys)
         .withColumn("u", uniform)
         .withColumn("copies", F.expr("size(filter(cdf, c -> c < u))"))
         .where("copies > 0")

@@ -112,6 +112,13 @@ def test_mixing_meets_its_targets(spark):
     assert abs(share[5] - 5**5 * np.exp(-5) / 120) < 0.08
 
 
+def test_mixing_is_the_same_with_many_sources(spark, monkeypatch):
+    docs = spark.createDataFrame([(i % 50, "x" * (i + 1), None, f"s{i % 7}") for i in range(300)], SCHEMA)
+    small = sorted(map(str, mixing.mix(docs).collect()))
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 3)
+    assert sorted(map(str, mixing.mix(docs).collect())) == small
+
+
 def test_mixing_large_rates_and_odd_rows(spark):
     rows = [(1, None, None, None), (2, "", None, ""), (None, "abc", None, "s"), (3, "abc", None, "s"), (3, "abc", None, "s"), (4, "y" * 900_000, None, "huge")]
     docs = spark.createDataFrame(rows, SCHEMA)
