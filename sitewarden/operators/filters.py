@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewarden.constants import NRT_MAX_DAYS, SCORE_COLUMNS
+from sitewarden.constants import SCORE_COLUMNS
 from sitewarden.session import scalar_of
 
 
@@ -34,11 +34,12 @@ def filter_quakes(
     return kept.orderBy("event_time", "usgs_id") if ordered else kept
 
 
-def last_n_days(df: DataFrame, n: int, date: str = "acq_date") -> DataFrame:
-    """The last n days up to the newest date; at most ten."""
-    days = min(n, NRT_MAX_DAYS)
+def last_n_days(df: DataFrame, n: int, date: str = "acq_date", max_days: int | None = None) -> DataFrame:
+    """The last n days up to the newest date. Asking for more than `max_days`, where given, is an error."""
+    if max_days is not None and n > max_days:
+        raise ValueError(f"{n} days asked for, {max_days} at most")
     newest = scalar_of(df, F.max(date))
-    return df.where(F.col(date) > F.date_sub(newest, days))
+    return df.where(F.col(date) > F.date_sub(newest, n))
 
 
 def filter_sites_by_iso(df: DataFrame, codes: Sequence[str] | None) -> DataFrame:

@@ -9,9 +9,16 @@ from pyspark.sql import functions as F
 
 
 def last_per_key(df: DataFrame, keys: Sequence[str], order: str | None) -> DataFrame:
-    """The row of each key that came last; map-side combined, so a hot key is no hot task."""
+    """The row of each key that came last; map-side combined, so a hot key is no hot task.
+
+    Without `order` no row of a repeated key can be the last: that is an error when the plan runs.
+    """
     if order is None:
-        return df
+        rest = [c for c in df.columns if c not in keys]
+        one = df.groupBy(*keys).agg(F.first(F.struct(F.lit(0).alias("_any"), *rest)).alias("_row"), F.count(F.lit(1)).alias("_n"))
+        message = F.concat(F.lit("repeated key without an order: "), F.to_json(F.struct(*keys)))
+        checked = F.when(F.col("_n") == 1, F.col("_row")).otherwise(F.raise_error(message))
+        return one.withColumn("_row", checked).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
     rest = [c for c in df.columns if c not in keys and c != order]
     last = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_last"))
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
@@ -57,8 +64,12 @@ def merge_latest(
 
 
 def update_matched(current: DataFrame, updates: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Matching rows take `cols` from `updates`; unmatched rows stay; missing columns are added."""
-    u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_hit"))
+    """Matching rows take `cols` from `updates`; unmatched rows stay; missing columns are added.
+
+    Keys that `updates` repeats are an error when the plan runs.
+    """
+    once = last_per_key(updates.select(*keys, *[c for c in cols if c not in keys]), keys, None)
+    u = once.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols], F.lit(True).alias("_hit"))
     joined = current.join(u, list(keys), "left")
 
     def value(name: str) -> Column:

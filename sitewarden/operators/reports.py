@@ -200,9 +200,9 @@ def factor_means(df: DataFrame, columns: Sequence[str] = SCORE_COLUMNS) -> DataF
 
 
 def factors_long(df: DataFrame, n: int = 5, columns: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
-    """The sub-scores of the n highest sites in long form, names cut to 30 characters."""
+    """The sub-scores of the n highest sites in long form."""
     top = df.orderBy(F.desc("composite_risk_score"), "site_id").limit(n)
-    return top.select("site_id", F.substring("name", 1, 30).alias("name"), *columns).unpivot(
+    return top.select("site_id", "name", *columns).unpivot(
         ["site_id", "name"], list(columns), "factor", "score"
     )
 

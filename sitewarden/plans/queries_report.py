@@ -228,13 +228,13 @@ def agg_dashboard_stats(t):
     + " UNION ALL ".join(f"SELECT 'mean' AS who, '{c}' AS factor, {r(f'avg({c})', alias='value')} FROM view" for c in SCORES6)
     + " "
     + " ".join(
-        f"UNION ALL (SELECT substring(name, 1, 30), '{c}', {r(c, alias='value')} FROM view ORDER BY composite_risk_score DESC, site_id LIMIT 5)"
+        f"UNION ALL (SELECT site_id || ' ' || name, '{c}', {r(c, alias='value')} FROM view ORDER BY composite_risk_score DESC, site_id LIMIT 5)"
         for c in SCORES6
     ),
 )
 def agg_factor_means(t):
     means = rp.factor_means(t.view).select(F.lit("mean").alias("who"), "factor", F.col("mean_score").alias("value"))
-    top = rp.factors_long(t.view).select(F.col("name").alias("who"), "factor", F.col("score").alias("value"))
+    top = rp.factors_long(t.view).select(F.concat_ws(" ", "site_id", "name").alias("who"), "factor", F.col("score").alias("value"))
     return rounded(means.unionByName(top), "value")
 
 

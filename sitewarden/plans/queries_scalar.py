@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sitewarden.constants import EUROPE_ISO_CODES
 from sitewarden.functions import scalars as fn
 from sitewarden.operators import filters as fl
 from sitewarden.operators import quality as ql
@@ -33,13 +32,14 @@ def flt_bbox_mag_time(t):
 @query(
     "flt_days_window",
     f"""{W('fires')} SELECT ord, satellite, strftime(acq_date, '%Y-%m-%d') AS acq_date FROM fires
-    WHERE acq_date > (SELECT max(acq_date) FROM fires) - 10""",
+    WHERE acq_date > (SELECT max(acq_date) FROM fires) - 15""",
 )
 def flt_days_window(t):
     return texts(fl.last_n_days(t.fires, 15).select("ord", "satellite", "acq_date"), "acq_date")
 
 
-_CODES = "list_value(" + ", ".join(f"'{c}'" for c in EUROPE_ISO_CODES) + ")"
+_WANTED = ("FR", "VA")
+_CODES = "list_value(" + ", ".join(f"'{c}'" for c in _WANTED) + ")"
 
 
 @query(
@@ -48,7 +48,7 @@ _CODES = "list_value(" + ", ".join(f"'{c}'" for c in EUROPE_ISO_CODES) + ")"
     WHERE list_has_any(string_split(iso_code, ', '), {_CODES})""",
 )
 def flt_iso_overlap(t):
-    return fl.filter_sites_by_iso(t.sites, EUROPE_ISO_CODES).select("site_id", "iso_code")
+    return fl.filter_sites_by_iso(t.sites, _WANTED).select("site_id", "iso_code")
 
 
 _COPIES = """records AS (SELECT whc_id, site_id AS ord, lon, CASE WHEN site_id % 10 = 1 THEN 95::DOUBLE ELSE lat END AS lat,

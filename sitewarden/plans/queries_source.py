@@ -145,11 +145,25 @@ def src_quakes_by_year(t):
     strftime(acq_date, '%Y-%m-%d') AS acq_date, acq_time, day_night, {r('lon')}, {r('lat')} FROM fires WHERE ord % 29 <> 8""",
 )
 def src_fires_csv(t):
-    path = t.landed(_fire_rows(t), "fires", "csv", header=True)
-    out = hz.read_fires(t.spark, path)
+    out = hz.read_fires(t.spark, _landed_fires(t, _fire_rows(t)))
     return texts(rounded(out, "brightness", "frp", "lon", "lat"), "acq_date")
 
 
+def _landed_fires(t, rows):
+    """One folder with the files of two sensors, each with its own columns in its own order."""
+    other = F.lit("1.1")
+    first = rows.where("bright_ti4 is not null").select(
+        "latitude", "longitude", "bright_ti4", other.alias("scan"), other.alias("track"), "acq_date", "acq_time", "satellite",
+        F.lit("VIIRS").alias("instrument"), "confidence", F.lit("2.0").alias("version"), other.alias("bright_ti5"), "frp", "daynight",
+    )
+    second = rows.where("bright_ti4 is null").select(
+        "acq_time", "acq_date", "satellite", "brightness", other.alias("bright_t31"), "frp", "daynight", "confidence", "longitude", "latitude"
+    )
+    path = t.landed(first, "fires", "csv", header=True)
+    second.write.mode("append").option("header", True).csv(path)
+    return path
+
+
 def _fire_rows(t, bad: bool = True):
     k = F.col("ord")
     brightness = (k % 400).cast("string")
@@ -294,7 +308,7 @@ _STEP = 0.1 / 110.5
 def stream_fires(t):
     # every detection is landed twice
     rows = _fire_rows(t, bad=False).withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1)))).drop("copy")
-    landing, table = t.landed(rows, "landing", "csv", header=True), new_path(t.spark, "detections")
+    landing, table = _landed_fires(t, rows), new_path(t.spark, "detections")
     job = start_fires(t.spark, landing, table, new_path(t.spark, "stream"))
     job.awaitTermination()
     if job.exception() is not None:

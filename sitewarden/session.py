@@ -35,6 +35,9 @@ def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables: spark.checkpoint.dir, a temporary one only on local[*]."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
+        if root.startswith("file:/tmp") or root.startswith("file:///tmp"):
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError(f"{root} is a folder of one machine; spark.checkpoint.dir has to be shared")
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")

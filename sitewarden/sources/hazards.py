@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +37,7 @@ def read_quakes(spark: SparkSession, path: str | Sequence[str], lines: bool = Fa
         p["mag"].alias("magnitude"),
         p["magType"].alias("mag_type"),
         F.try_element_at(xyz, F.lit(3)).alias("depth_km"),
-        F.substring(p["place"], 1, 300).alias("place_desc"),
+        p["place"].alias("place_desc"),
         from_epoch_ms(p["time"]).alias("event_time"),
         p["sig"].alias("significance"),
         p["mmi"].alias("mmi"),
@@ -96,7 +97,32 @@ def parse_fires(rows: DataFrame, source: str | None = None) -> DataFrame:
     ).dropna(subset=["acq_date", "acq_time", "lon", "lat"])
 
 
+_HEADER_LINE = r'(?i)(^|,)\s*"?latitude"?\s*(,|$)'
+MAX_HEADERS = 1000
+
+
 def read_fires(spark: SparkSession, path: str, source: str | None = None) -> DataFrame:
-    """Fire detections from CSV files with a header; column order and presence may vary by file set."""
-    rows = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
-    return parse_fires(rows, source)
+    """Fire detections from CSV files; every file is read by its own header line.
+
+    Files of one folder may differ in columns and their order. Each distinct header is one pass over the lines.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    headers = lines.where(F.col("value").rlike(_HEADER_LINE)).groupBy("file").agg(F.min("value").alias("header"))
+    kinds = [r.header for r in headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(kinds) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers in {path}")
+    owned = lines.join(headers, "file").where("value <> header")
+    parts = [parse_fires(owned.where(F.col("header") == kind).select(*by_header(kind)), source) for kind in sorted(kinds)]
+    if not parts:
+        empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in FIRE_CSV_COLUMNS))
+        return parse_fires(empty, source)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def by_header(header: str) -> list[Column]:
+    """The known columns of a CSV line (column value) under a header line."""
+    names = [name.strip().strip('"').lower() for name in header.split(",")]
+    schema = ", ".join(f"_{i} string" for i in range(len(names)))
+    row = F.from_csv("value", F.lit(schema), {"mode": "PERMISSIVE"})
+    places = {name: i for i, name in reversed(list(enumerate(names)))}
+    return [row[f"_{places[c]}"].alias(c) if c in places else F.lit(None).cast("string").alias(c) for c in FIRE_CSV_COLUMNS]

@@ -41,13 +41,13 @@ def _columns(lat: Column, lon: Column) -> list[Column]:
     category = clean(F.col("category"))
     return [
         F.col("whc_id"),
-        first_nonempty(F.col("site"), F.col("name"), max_len=500).alias("name"),
+        first_nonempty(F.col("site"), F.col("name")).alias("name"),
         F.when(category.isin(*CATEGORIES), category).alias("category"),
         F.trim("date_inscribed").try_cast("int").alias("date_inscribed"),
-        first_nonempty(F.col("states"), F.col("state"), max_len=200).alias("country"),
-        clean(F.col("iso_code"), 20).alias("iso_code"),
-        clean(F.col("region"), 100).alias("region"),
-        first_nonempty(F.col("criteria_txt"), F.col("criteria"), max_len=100).alias("criteria"),
+        first_nonempty(F.col("states"), F.col("state")).alias("country"),
+        clean(F.col("iso_code")).alias("iso_code"),
+        clean(F.col("region")).alias("region"),
+        first_nonempty(F.col("criteria_txt"), F.col("criteria")).alias("criteria"),
         F.coalesce(F.trim("danger").isin("1", "true", "True", "TRUE"), F.lit(False)).alias("in_danger"),
         F.coalesce(F.trim("area_hectares").try_cast("double"), F.lit(0.0)).alias("area_hectares"),
         first_nonempty(F.col("short_description"), F.col("description")).alias("description"),

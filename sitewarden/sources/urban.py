@@ -29,7 +29,7 @@ def parse_osm(rows: DataFrame, all_tags: bool = False) -> DataFrame:
         F.coalesce("osm_type", F.lit("unknown")).alias("osm_type"),
         kind.alias("feature_type"),
         value.alias("feature_value"),
-        F.substring(tags["name"], 1, 500).alias("name"),
+        tags["name"].alias("name"),
         F.col("site_id").alias("nearest_site_id"),
         F.lit(None).cast("double").alias("distance_to_site_m"),
         "rings",

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import io
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sitewarden.constants import NEAR_DUPLICATE_M
@@ -26,15 +30,32 @@ def dedupe_key(df: DataFrame) -> DataFrame:
 
 
 def fire_stream(spark: SparkSession, landing: str, files_per_batch: int | None = None) -> DataFrame:
-    """Deduplicated detections of the CSV files that arrive in a folder."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in FIRE_CSV_COLUMNS])
-    reader = spark.readStream.schema(schema).option("header", True)
+    """Deduplicated detections of the CSV files that arrive in a folder, each read by its own header line.
+
+    A landed file is one pull of the feed and is read as one row.
+    """
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    keyed = dedupe_key(parse_fires(reader.csv(landing)))
+    keyed = dedupe_key(parse_fires(named_lines(reader.text(landing, wholetext=True))))
     return keyed.withWatermark("acq_ts", WATERMARK).dropDuplicatesWithinWatermark(["satellite", "acq_ts", "cell"])
 
 
+def named_lines(files: DataFrame) -> DataFrame:
+    """The known columns of every line after a file's first, by the names in that first line."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("value").to_pylist():
+                lines = csv.reader(io.StringIO(text or ""))
+                names = [name.strip().lower() for name in next(lines, [])]
+                rows = [dict(zip(names, cells, strict=False)) for cells in lines if cells]
+                columns = [pa.array([row.get(c) or None for row in rows], pa.string()) for c in FIRE_CSV_COLUMNS]
+                yield pa.RecordBatch.from_arrays(columns, list(FIRE_CSV_COLUMNS))
+
+    return files.select("value").mapInArrow(task, ", ".join(f"{c} string" for c in FIRE_CSV_COLUMNS))
+
+
 def start_fires(
     spark: SparkSession, landing: str, table: str, checkpoint: str, files_per_batch: int | None = None
 ) -> StreamingQuery:
