@@ -5,7 +5,8 @@ each half gets a tree whose vantage points partition it by Hamming distance: ins
 point and that of a half within r of it differ by r at most (triangle inequality), so a fingerprint is filed in the one shard of its path and
 asks in every shard whose region its ball of radius r reaches. On whole fingerprints the ball of radius 3 would overlap
 two thirds of the boundaries; on halves with radius 1 it overlaps a quarter, which is what keeps the shards' number of
-visitors small. Inside a shard those filed there meet the visitors by exact 64-bit distances, in blocks.
+visitors small. Inside a shard those filed there meet the visitors by exact 64-bit distances, in blocks; a large shard is first
+parted by one more tree.
 
 Only distinct fingerprints are filed, so exact copies cost nothing. A shard hands on one edge from each linked fingerprint to the smallest
 one of its local group, not all pairs; the groups are joined by connected components over all shards.
@@ -37,6 +38,7 @@ SHINGLE = 3
 LEAF = 128
 MAX_DEPTH = 15
 SAMPLE_PER_LEAF = 32
+LARGE_SHARD = 8 * LEAF
 CANDIDATES = 6
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLOCK = 256
@@ -140,6 +142,29 @@ def local_links(filed: np.ndarray, visitors: np.ndarray, max_bits: int) -> tuple
     return visitors[moved], visitors[label[moved]]
 
 
+def shard_links(filed: np.ndarray, visitors: np.ndarray, half: int, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """local_links of a shard of the tree over that half; both arrays are sorted.
+
+    A shard that outgrew the trees' greatest depth is parted by a tree of its own, so that its work stays near linear.
+    """
+    if len(filed) <= LARGE_SHARD:
+        return local_links(filed, visitors, max_bits)
+    depth = min(MAX_DEPTH, int(np.ceil(np.log2(len(filed) / LEAF))))
+    values = halves(filed)[half]
+    sample = values[np.linspace(0, len(values) - 1, min(len(values), SAMPLE_PER_LEAF << depth)).astype(np.int64)]
+    tree = Tree(sample, depth)
+    home = tree.home(values)
+    who, leaf = tree.reached(halves(visitors)[half], max_bits // 2)
+    order = np.lexsort((who, leaf))
+    who, leaf, by_home = who[order], leaf[order], np.argsort(home, kind="stable")
+    found = []
+    for part in np.unique(home):
+        own = by_home[slice(*np.searchsorted(home[by_home], [part, part + 1]))]
+        guests = who[slice(*np.searchsorted(leaf, [part, part + 1]))]
+        found.append(local_links(filed[own], visitors[guests], max_bits))
+    return tuple(np.concatenate(side) for side in zip(*found, strict=True))
+
+
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (column fp) that connect the same groups as all pairs within `max_bits` do."""
     spark = prints.sparkSession
@@ -165,7 +190,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         fps = group.column("fp").to_numpy().view(np.uint64)
         order = np.argsort(fps, kind="stable")
         filed = group.column("filed").to_numpy(zero_copy_only=False)[order]
-        a, b = local_links(fps[order][filed], fps[order], max_bits)
+        half = group.column("shard")[0].as_py() % 2
+        a, b = shard_links(fps[order][filed], fps[order], half, max_bits)
         return pa.table({"a": pa.array(a.view(np.int64)), "b": pa.array(b.view(np.int64))})
 
     shards = prints.select("fp").mapInArrow(file, "shard int, fp bigint, filed boolean")

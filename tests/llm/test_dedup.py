@@ -99,6 +99,32 @@ def test_simhash_trees_lose_no_link_when_deep(spark):
     assert met == pairs and len(pairs) > 400
 
 
+def test_large_shards_are_parted_without_loss():
+    rng = np.random.default_rng(9)
+    centres = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    flips = np.uint64(1) << rng.integers(0, 64, (4000, 4), dtype=np.uint64)
+    flips[rng.random((4000, 4)) < 0.5] = 0
+    prints = np.unique(np.concatenate([rng.choice(centres, 4000) ^ np.bitwise_xor.reduce(flips, axis=1), rng.integers(0, 1 << 63, 1000, dtype=np.uint64)]))
+    assert len(prints) > simhash_vp.LARGE_SHARD
+
+    def groups(*edges):
+        parent = {int(p): int(p) for p in prints}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in edges:
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                x, y = find(x), find(y)
+                parent[max(x, y)] = min(x, y)
+        return [find(int(p)) for p in prints]
+
+    parted = [simhash_vp.shard_links(prints, prints, half, 3) for half in (0, 1)]
+    assert groups(*parted) == groups(simhash_vp.local_links(prints, prints, 3))
+
+
 def test_simhash_keeps_one_of_each_group_and_odd_rows(spark):
     docs = odd_rows(spark)
     found = simhash_vp.classes(docs).collect()
