@@ -1,6 +1,6 @@
 """Polygon measures over `array<array<struct<x,y>>>` columns.
 
-The first ring is the shell, the others are holes; rings are closed. A point is one ring of one
+The first ring is the shell, the others are holes; an open ring is a line, of area 0. A point is one ring of one
 vertex. All measures fold over the arrays inside the JVM. Pass plain columns: an expression as
 argument would be evaluated once per reference, so project the rings into a column first
 (`with_plane_rings`).
@@ -53,7 +53,9 @@ def _moments(ring: Column, ox: Column, oy: Column) -> Column:
         )
 
     zero = F.struct(F.lit(0.0).alias("area2"), F.lit(0.0).alias("mx"), F.lit(0.0).alias("my"))
-    return F.aggregate(ring_edges(ring), zero, add)
+    # an open ring is a line: it encloses nothing
+    open_ring = F.element_at(ring, 1) != F.element_at(ring, -1)
+    return F.when(open_ring, zero).otherwise(F.aggregate(ring_edges(ring), zero, add))
 
 
 def _shape_moments(rings: Column) -> Column:

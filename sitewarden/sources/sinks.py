@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,11 +61,21 @@ def read_current(spark: SparkSession, base: str) -> DataFrame | None:
     return spark.read.parquet(f"{base}/v={found[-1]}") if found else None
 
 
+def _last_number(spark: SparkSession, base: str) -> int:
+    """The highest version number in use, complete or not; 0 without any."""
+    jvm, fs = _filesystem(spark, base)
+    root = jvm.org.apache.hadoop.fs.Path(base)
+    names = [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+    return max((int(n[2:]) for n in names if n.startswith("v=")), default=0)
+
+
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Write the table as the next version. Readers switch when its success marker appears."""
-    found = versions(df.sparkSession, base)
-    path = f"{base}/v={(found[-1] if found else 0) + 1}"
-    writer = df.write.mode("overwrite")
+    """Write the table as the next version. Readers switch when its success marker appears.
+
+    A number that another writer has taken meanwhile is an error; remains of a failed write are passed over.
+    """
+    path = f"{base}/v={_last_number(df.sparkSession, base) + 1}"
+    writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -78,26 +87,17 @@ def merge_partitions(
 ) -> None:
     """Merge `new` into a partitioned table in place, rewriting only the partitions it touches.
 
-    The touched partition values are listed on the driver (one row per partition of the table), which
-    prunes the scan. The merged rows are written to the work folder first, then replace the partitions.
+    The touched partition values are joined, not listed on the driver; Spark prunes the scan by them at run time.
+    The merged rows are written to the work folder first, then replace the partitions.
     """
     spark = new.sparkSession
     jvm, fs = _filesystem(spark, base)
-    touched = [tuple(row) for row in new.select(*partition_by).distinct().collect()]
-    if not touched:
-        return
+    merged = new
     if fs.exists(jvm.org.apache.hadoop.fs.Path(base)):
         current = spark.read.parquet(base)
-        wanted = reduce(
-            lambda a, b: a | b,
-            [
-                reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(partition_by, row, strict=True)])
-                for row in touched
-            ],
-        )
-        merged = stage(merge(current.where(wanted), new), "merged")
-    else:
-        merged = new
+        touched = new.select(*[F.col(c).alias(f"_t_{c}") for c in partition_by]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in partition_by]
+        merged = stage(merge(current.join(touched, same, "left_semi"), new), "merged")
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(base)
 
 

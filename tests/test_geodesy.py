@@ -89,6 +89,7 @@ def test_polygon_measures(spark, flip):
         (2, [shell, HOLE], 3.0, 3.0),
         (3, [shell], 7.0, 8.0),
         (4, [[(5.0, 6.0)]], 8.0, 10.0),
+        (5, [[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]], 3.0, 1.0),
     ]
     df = spark.createDataFrame(rows, "id int, rings array<array<struct<x:double,y:double>>>, x double, y double")
     r = F.col("rings")
@@ -107,6 +108,7 @@ def test_polygon_measures(spark, flip):
     assert got[2].inside and got[2].d == 0.0
     assert got[3].d == pytest.approx(5.0) and not got[3].inside
     assert got[4].area == 0.0 and got[4].d == pytest.approx(5.0) and (got[4].c.x, got[4].c.y) == (5.0, 6.0)
+    assert got[5].area == 0.0 and got[5].d == pytest.approx(2.0)
 
 
 def test_buffer_area_grows_with_the_square(spark, cities):

@@ -65,6 +65,9 @@ def test_versions(spark, tmp_path):
     sinks.write_version(spark.range(3), base)
     sinks.write_version(spark.range(5), base)
     assert sinks.versions(spark, base) == [1, 2] and sinks.read_current(spark, base).count() == 5
+    (tmp_path / "t" / "v=3").mkdir()  # a write that failed
+    assert sinks.read_current(spark, base).count() == 5
+    assert sinks.write_version(spark.range(7), base).endswith("v=4") and sinks.read_current(spark, base).count() == 7
 
 
 def test_merge_rewrites_only_touched_partitions(spark, tmp_path):
