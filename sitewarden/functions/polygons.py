@@ -58,7 +58,7 @@ def _moments(ring: Column, ox: Column, oy: Column) -> Column:
     return F.when(open_ring, zero).otherwise(F.aggregate(ring_edges(ring), zero, add))
 
 
-def _shape_moments(rings: Column) -> Column:
+def shape_moments(rings: Column) -> Column:
     """Shell minus holes, whatever the direction of the rings: area, mx, my around the first vertex."""
     origin = F.element_at(F.element_at(rings, 1), 1)
     ox, oy = origin.getField("x"), origin.getField("y")
@@ -84,7 +84,7 @@ def _shape_moments(rings: Column) -> Column:
 
 def st_area(rings: Column) -> Column:
     """Area in the units of the coordinates; 0 for points, NULL for NULL."""
-    return _shape_moments(rings).getField("area")
+    return shape_moments(rings).getField("area")
 
 
 def st_centroid(rings: Column) -> Column:
@@ -104,7 +104,7 @@ def st_centroid(rings: Column) -> Column:
         )
 
     # a one-element transform names the moments, so they are folded once
-    return F.element_at(F.transform(F.array(_shape_moments(rings)), from_moments), 1)
+    return F.element_at(F.transform(F.array(shape_moments(rings)), from_moments), 1)
 
 
 def st_within(x: Column, y: Column, rings: Column) -> Column:

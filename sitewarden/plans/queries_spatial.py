@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewarden.functions import geodesy as g
 from sitewarden.functions import polygons as pg
+from sitewarden.functions import shapes as sh
 from sitewarden.operators import exposure as ex
 from sitewarden.operators import reports as rp
 from sitewarden.operators import spatial as sp
 from sitewarden.operators.neardup import drop_near_duplicates
 from sitewarden.operators.scaling import merge_scores
+from sitewarden.plans.linking import link_hazard
 from sitewarden.plans.oracle import _DD, _RQ, SCORES6, haversine, laea, lambert, r, with_ctes
 from sitewarden.plans.queries_scalar import nearest_sql
 from sitewarden.plans.registry import SCORES, query, rounded, texts
@@ -330,3 +333,74 @@ GREEDY_SQL = f"""{COPIES_SQL}, trio AS (SELECT a.fire_id, a.ord AS o0, b.ord AS
 )
 def join_anti_near_dup(t):
     return drop_near_duplicates(copies_of(t), method="haversine").select("ord")
+
+
+# id % 4: two squares of which the first has a hole, one square, a closed line, a point
+_SHAPES_SQL = """shapes AS (SELECT c_custkey AS id, c_custkey % 4 AS kind, (c_custkey % 9 + 2)::DOUBLE AS a, (c_custkey % 5 + 1)::DOUBLE AS b FROM customer)"""
+
+
+def _shape_texts(t) -> DataFrame:
+    """(id, wkt, geojson) derived from customers; side lengths a and b follow the id, the hole has side 1."""
+    k = F.col("c_custkey")
+    rows = t.raw("customer").select(k.alias("id"), (k % 4).alias("kind"), (k % 9 + 2).alias("a"), (k % 5 + 1).alias("b"))
+    text = F.when(
+        F.col("kind") == 0,
+        F.format_string("MULTIPOLYGON (((0 0, %1$d 0, %1$d %1$d, 0 %1$d, 0 0), (0.5 0.5, 1.5 0.5, 1.5 1.5, 0.5 1.5, 0.5 0.5)), ((20 0, 20 %2$d, 2%2$d %2$d, 2%2$d 0, 20 0)))", "a", "b"),
+    )
+    text = text.when(F.col("kind") == 1, F.format_string("POLYGON ((0 0, %1$d 0, %1$d %1$d, 0 %1$d, 0 0))", "a"))
+    text = text.when(F.col("kind") == 2, F.format_string("LINESTRING (0 0, %1$d 0, %1$d %1$d, 0 0)", "a"))
+    rows = rows.withColumn("wkt", text.otherwise(F.format_string("POINT (%d %d)", "a", "b")))
+    # the same shape as GeoJSON
+    body = F.translate(F.regexp_replace(F.regexp_extract("wkt", r"(\(.*\))", 1), r"([0-9.]+) ([0-9.]+)", r"[$1, $2]"), "()", "[]")
+    body = F.when(F.col("kind") == 3, F.regexp_replace(body, r"^\[|\]$", "")).otherwise(body)
+    names = F.array(*[F.lit(n) for n in ("MultiPolygon", "Polygon", "LineString", "Point")])
+    name = F.element_at(names, (F.col("kind") + 1).cast("int"))
+    return rows.withColumn("geojson", F.concat(F.lit('{"type": "'), name, F.lit('", "coordinates": '), body, F.lit("}")))
+
+
+@query(
+    "sp_shape_area",
+    f"""WITH {_SHAPES_SQL}, m AS (SELECT id, CASE kind WHEN 0 THEN a * a - 1 + b * b WHEN 1 THEN a * a ELSE 0 END AS area FROM shapes)
+    SELECT id, area::DOUBLE AS wkt_area, area::DOUBLE AS geojson_area FROM m""",
+)
+def sp_shape_area(t):
+    read = _shape_texts(t).select("id", sh.from_wkt(F.col("wkt")).alias("w"), sh.from_geojson(F.col("geojson")).alias("g"))
+    measured = read.select("id", sh.shape_area(F.col("w")).alias("wkt_area"), sh.shape_area(F.col("g")).alias("geojson_area"))
+    return rounded(measured, "wkt_area", "geojson_area")
+
+
+@query(
+    "sp_shape_centroid",
+    f"""WITH {_SHAPES_SQL}, m AS (SELECT id,
+      CASE kind WHEN 0 THEN (a * a * a / 2 - 1 + b * b * (20 + b / 2)) / (a * a - 1 + b * b) WHEN 1 THEN a / 2 WHEN 2 THEN a / 2 ELSE a END AS cx,
+      CASE kind WHEN 0 THEN (a * a * a / 2 - 1 + b * b * b / 2) / (a * a - 1 + b * b) WHEN 1 THEN a / 2 WHEN 2 THEN a / 4 ELSE b END AS cy FROM shapes)
+    SELECT id, {r('cx')}, {r('cy')} FROM m""",
+)
+def sp_shape_centroid(t):
+    read = _shape_texts(t).select("id", sh.from_geojson(F.col("geojson")).alias("g"))
+    c = read.select("id", sh.shape_centroid(F.col("g")).alias("c"))
+    return rounded(c.select("id", F.col("c.x").alias("cx"), F.col("c.y").alias("cy")), "cx", "cy")
+
+
+def _links_sql(events: str, key: str, limit: int) -> str:
+    return f"""{W('sites', 'quakes', events, 'sites_p')}, {nearest_sql(limit).replace('usgs_id', key).replace('FROM quakes e', f'FROM {events} e')}
+    SELECT e.{key}, coalesce(l.site_id, -1)::BIGINT AS nearest_site_id, {r('coalesce(l.distance_km, -1)', 6, 'distance_to_site_km')}
+    FROM {events} e LEFT JOIN links l ON e.{key} = l.{key}"""
+
+
+def _linked(t, events: DataFrame, kind: str, key: str) -> DataFrame:
+    """The hazard's whole table after the link step; unlinked events show -1."""
+    none = {"nearest_site_id": F.lit(None).cast("bigint"), "distance_to_site_km": F.lit(None).cast("double")}
+    out = link_hazard(events.withColumns(none), t.sites, kind, key, strategy=t.strategy)
+    out = out.select(key, F.coalesce("nearest_site_id", F.lit(-1)).cast("long").alias("nearest_site_id"), F.coalesce("distance_to_site_km", F.lit(-1.0)).alias("distance_to_site_km"))
+    return rounded(out, "distance_to_site_km")
+
+
+@query("link_fires", _links_sql("fires", "ord", 25000))
+def link_fires(t):
+    return _linked(t, t.fires, "fire", "ord")
+
+
+@query("link_floods", _links_sql("floods", "event_id", 50000))
+def link_floods(t):
+    return _linked(t, t.floods, "flood", "event_id")

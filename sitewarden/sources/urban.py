@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitewarden.constants import LANDUSE_VALUES
 from sitewarden.functions.scalars import feature_info
+from sitewarden.functions.shapes import from_geojson, from_wkt, project_shape, shape_area
 
 _SCHEMA = (
     "osm_id bigint, osm_type string, site_id bigint, tags map<string,string>, "
@@ -39,3 +40,12 @@ def parse_osm(rows: DataFrame, all_tags: bool = False) -> DataFrame:
 def read_osm(spark: SparkSession, path: str, fmt: str = "json", all_tags: bool = False) -> DataFrame:
     """Feature extract in JSON lines or Parquet."""
     return parse_osm(spark.read.format(fmt).schema(_SCHEMA).load(path), all_tags)
+
+
+def with_shapes(rows: DataFrame, text: str = "geometry", fmt: str = "geojson", area_crs: int = 3035) -> DataFrame:
+    """Replace the column `text`, WKT or GeoJSON, by `shape` and `area_m2` (0 for lines and points, null without a readable shape)."""
+    if fmt not in ("geojson", "wkt"):
+        raise ValueError(f"unknown geometry format: {fmt}")
+    read = from_wkt if fmt == "wkt" else from_geojson
+    shaped = rows.withColumn("shape", read(F.col(text))).withColumn("_plane", project_shape(F.col("shape"), area_crs))
+    return shaped.withColumn("area_m2", shape_area(F.col("_plane"))).drop("_plane", text)
