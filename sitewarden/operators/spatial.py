@@ -29,7 +29,7 @@ from sitewarden.functions.geodesy import (
     with_3035,
 )
 from sitewarden.functions.polygons import max_vertex_m, st_distance, with_plane_rings
-from sitewarden.session import resolve_strategy
+from sitewarden.session import resolve_strategy, stage
 
 
 def join_on_cell(events: DataFrame, sites: DataFrame, strategy: str, salts: int = JOIN_SALTS) -> DataFrame:
@@ -108,8 +108,10 @@ def distance_join(
 def _with_lonely_sites(rows: DataFrame, sites: DataFrame) -> DataFrame:
     """Rows plus one row of NULLs for each site without any: a left join that never shuffles the rows.
 
-    Only the distinct site ids move, so a site holding a large share of the rows makes no hot task.
+    The rows are computed once, written and read for both uses. Only the distinct site ids move, so a site holding a large share of the
+    rows makes no hot task.
     """
+    rows = stage(rows, "site_rows")
     lonely = sites.select("site_id").join(rows.select("site_id").distinct(), "site_id", "left_anti")
     return rows.unionByName(lonely, allowMissingColumns=True)
 
@@ -124,14 +126,10 @@ def distance_sums(
 ) -> DataFrame:
     """Per site, sums of `event value x kernel(distance in km)` over the events within the radius.
 
-    One row per site that has an event; `terms` maps an output column to (event value, kernel). On
-    the shuffled route the event values are first summed per coordinate, which folds copies of a
-    place before anything is joined.
+    One row per site that has an event; `terms` maps an output column to (event value, kernel).
     """
     strategy = resolve_strategy(sites, strategy)
     slim = events.select("lon", "lat", *[value.cast("double").alias(name) for name, (value, _) in terms.items()])
-    if strategy == "shuffle":
-        slim = slim.groupBy("lon", "lat").agg(*[F.sum(name).alias(name) for name in terms])
     pairs = pairs_within(sites, slim, radius_m, method, strategy)
     km = F.col("distance_m") / 1000.0
     return pairs.groupBy("site_id").agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sitewarden.constants import RISK_WEIGHTS, SCORE_COLUMNS
 from sitewarden.operators import exposure as ex
 from sitewarden.operators.scaling import composite, log_minmax_all
-from sitewarden.session import resolve_strategy
+from sitewarden.session import resolve_strategy, stage
 
 _SUMS = (
     "building_count",
@@ -83,7 +83,8 @@ def risk_scores(
     strategy: str = "auto",
 ) -> DataFrame:
     """Six sub-scores, composite score and level of every site."""
-    raw = raw_metrics(sites, urban, climate, quakes, fires, floods, method, strategy)
+    # one row per site, written once: the extremes are taken from the file, not from a second run of all feeds
+    raw = stage(raw_metrics(sites, urban, climate, quakes, fires, floods, method, strategy), "raw_metrics")
     scaled = log_minmax_all(
         raw,
         {
