@@ -216,7 +216,8 @@ def keep_first(docs: DataFrame, max_bits: int = MAX_BITS, shingle: int = SHINGLE
     Of several rows that share that id one stays.
     """
     found = stage(classes(docs, max_bits, shingle), "classes")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    # written, so that Spark knows its size before it plans the join: a short list is broadcast and no text moves
+    gone = stage(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
     kept = docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
     twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if twice.isEmpty():
