@@ -19,11 +19,11 @@ from sitewarden.constants import (
     FOREST_SAMPLE,
     FOREST_SEED,
     FOREST_TREES,
-    PERCENTILE_MAX_ROWS,
     SCORE_COLUMNS,
 )
 from sitewarden.operators.filters import feature_matrix
 from sitewarden.operators.quantiles import quantiles
+from sitewarden.session import stage
 
 _NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, path double"
 _EULER = 0.5772156649015329
@@ -133,9 +133,9 @@ def isolation_forest(
             yield pd.DataFrame({key: batch[key], "raw": raw})
 
     kind = features.schema[key].dataType.simpleString()
-    scored = features.mapInPandas(score, f"{key} {kind}, raw double")
-    route = "percentile" if n <= PERCENTILE_MAX_ROWS else "rank"
-    offset = quantiles(scored, ["raw"], (contamination,), route).select(F.col("q")[0].alias("v")).scalar()
+    # written once: the offset and the output read the same scores
+    scored = stage(features.mapInPandas(score, f"{key} {kind}, raw double"), "raw_scores")
+    offset = quantiles(scored, ["raw"], (contamination,)).select(F.col("q")[0].alias("v")).scalar()
     return (
         scored.withColumn("isolation_forest_score", F.col("raw") - offset)
         .select(key, "isolation_forest_score")

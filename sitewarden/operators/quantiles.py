@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sitewarden.constants import PERCENTILE_MAX_ROWS
-from sitewarden.session import fits
-
 _BUCKETS = 200
 
 
@@ -19,18 +16,9 @@ def to_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(pairs)).where(F.col("value").isNotNull())
 
 
-def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], strategy: str = "auto") -> DataFrame:
-    """(name, q) with q an array of the exact quantiles of each column.
-
-    `percentile` keeps every distinct value of a group in one buffer. It serves up to
-    PERCENTILE_MAX_ROWS rows; beyond, `quantiles_by_rank` is used.
-    """
-    if strategy == "auto":
-        strategy = "percentile" if fits(df, PERCENTILE_MAX_ROWS) else "rank"
-    if strategy == "rank":
-        return quantiles_by_rank(to_long(df, columns), probs)
-    asked = F.array(*[F.lit(float(p)) for p in probs])
-    return to_long(df, columns).groupBy("name").agg(F.percentile("value", asked).alias("q"))
+def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(name, q) with q an array of the exact quantiles of each column, by one method at every size."""
+    return quantiles_by_rank(to_long(df, columns), probs)
 
 
 def quantiles_by_rank(long: DataFrame, probs: Sequence[float]) -> DataFrame:

@@ -105,7 +105,7 @@ def total_bounds(df: DataFrame) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], strategy: str = "auto") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column."""
     basic = (
         to_long(df, columns)
@@ -119,7 +119,7 @@ def describe(df: DataFrame, columns: Sequence[str], strategy: str = "auto") -> D
         )
     )
     # one row per described column
-    q = F.broadcast(quantiles(df, columns, (0.25, 0.5, 0.75), strategy))
+    q = F.broadcast(quantiles(df, columns, (0.25, 0.5, 0.75)))
     return basic.join(q, "name").select(
         "name",
         "n",
@@ -236,18 +236,18 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     )
 
 
-def histogram_stats(df: DataFrame, column: str, strategy: str = "auto") -> DataFrame:
+def histogram_stats(df: DataFrame, column: str) -> DataFrame:
     """Mean and median drawn over the histogram."""
-    median = quantiles(df, [column], (0.5,), strategy).select(F.col("q")[0].alias("median"))
+    median = quantiles(df, [column], (0.5,)).select(F.col("q")[0].alias("median"))
     mean = scalar_of(df, F.avg(column))
     return median.select(mean.alias("mean"), "median")
 
 
-def box_stats(df: DataFrame, columns: Sequence[str] = SCORE_COLUMNS, strategy: str = "auto") -> DataFrame:
+def box_stats(df: DataFrame, columns: Sequence[str] = SCORE_COLUMNS) -> DataFrame:
     """Quartiles, whisker ends and outlier count (1.5 IQR) of each column."""
     # one row per column
     q = F.broadcast(
-        quantiles(df, columns, (0.25, 0.5, 0.75), strategy).select(
+        quantiles(df, columns, (0.25, 0.5, 0.75)).select(
             "name", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3")
         )
     )
