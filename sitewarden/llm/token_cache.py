@@ -3,7 +3,8 @@
 A byte-level tokenizer cuts a text by a pattern and encodes the cuts one by one. So the ids of a text are those of its cuts, and each
 distinct cut goes through the library once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
 split before every space, which is a cut of the pattern unless the space lies inside a longer run of white space (those texts are cut whole).
-Tokenizers with another pre-tokenizer encode whole texts.
+Tokenizers with another pre-tokenizer encode whole texts. So do texts that contain the string of an added token (such as <|endoftext|>), which
+the library cuts out before its pattern.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         kind = str(self.tokenizer.pre_tokenizer).replace(" ", "")
         self.by_cuts = kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and self.tokenizer.normalizer is None
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.by_cuts = self.by_cuts and not any("\n" in t for t in added)
+        self.added = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in t) for t in added)
         self.cuts: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
         self.line_end = self._encode(["\n"])[0]
@@ -63,6 +66,22 @@ class Encoder:
         if not self.by_cuts:
             raw = self._encode(texts.to_pylist())
             return np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw], dtype=np.int64)
+        if self.added:
+            whole = pc.match_substring_regex(texts, self.added)
+            if pc.any(whole).as_py():
+                return self._some_whole(texts, whole)
+        return self._by_cuts(texts)
+
+    def _some_whole(self, texts: pa.Array, whole: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """ids() of texts of which those marked go through the library whole."""
+        marked = whole.to_numpy(zero_copy_only=False)
+        ids, counts = self._by_cuts(pc.filter(texts, pc.invert(whole)))
+        parts = np.empty(len(marked), dtype=object)
+        parts[~marked] = np.array([*np.split(ids, np.cumsum(counts)[:-1]), None], dtype=object)[:-1] if len(counts) else []
+        parts[marked] = np.array([*(np.frombuffer(r, "<u4") for r in self._encode(pc.filter(texts, whole).to_pylist())), None], dtype=object)[:-1]
+        return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
+
+    def _by_cuts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         for known in (self.cuts, self.chunks):
             if len(known) > MAX_KNOWN:
                 known.clear()

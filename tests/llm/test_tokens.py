@@ -55,6 +55,18 @@ def test_cut_encoding_equals_whole_texts():
         assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected
 
 
+def test_added_tokens_in_a_text_are_what_the_library_makes_of_them():
+    from tokenizers import Tokenizer
+
+    plain, encoder = Tokenizer.from_file(tokenizer_path()), token_cache.Encoder(tokenizer_path())
+    token = next(t.content for t in plain.get_added_tokens_decoder().values())
+    texts = ["a b", f"a {token} b", token, "", None, f"x{token}{token} y  z", token[:-1], f" {token}\n", "the end"]
+    for some in (texts, texts[1:3], texts[:1], []):
+        ids, counts = encoder.ids(pa.array(some, pa.string()))
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])][: len(some)] == [plain.encode(t or "", add_special_tokens=False).ids for t in some]
+    assert plain.token_to_id(token) in encoder.ids(pa.array(texts[1:2]))[0]
+
+
 def test_token_store_reads_back(spark):
     from tokenizers import Tokenizer
 
