@@ -253,3 +253,12 @@ def test_pieces_of_a_passage_from_several_documents_join(spark):
     rows = passage_chains.repeated_passages(frame(spark, texts)).collect()
     assert {(r.doc_id, r.other_id) for r in rows} == {(2, 0), (2, 1)}
     assert {(r.span_start, r.span_end) for r in rows} == {(60, 140)}
+
+
+def test_copies_inside_one_document_are_found_in_any_partitioning(spark):
+    rng = random.Random(12)
+    passage = sentence(rng, 60)
+    texts = [sentence(rng, 30) + " " + passage, sentence(rng, 100), " ".join([sentence(rng, 40), passage, sentence(rng, 40), passage]), sentence(rng, 80)]
+    for parts in (1, 4):
+        rows = passage_chains.repeated_passages(frame(spark, texts).repartitionByRange(parts, "doc_id")).collect()
+        assert {(r.doc_id, r.span_start, r.span_end) for r in rows} == {(2, 40, 100), (2, 140, 200)}, parts
