@@ -262,3 +262,25 @@ def test_copies_inside_one_document_are_found_in_any_partitioning(spark):
     for parts in (1, 4):
         rows = passage_chains.repeated_passages(frame(spark, texts).repartitionByRange(parts, "doc_id")).collect()
         assert {(r.doc_id, r.span_start, r.span_end) for r in rows} == {(2, 40, 100), (2, 140, 200)}, parts
+
+
+def test_verbatim_passages_with_words_inserted_between_them():
+    rng = random.Random(13)
+    for _ in range(30):
+        passages = [sentence(rng, 200).split() for _ in range(4)]
+        mine = [w for p in passages for w in p]
+        theirs, members = [], []
+        for i, p in enumerate(passages):
+            members.append((200 * i, 200 * i + 200, len(theirs), len(theirs) + 200))
+            theirs += p + sentence(rng, 75).split()
+        found = passage_chains.aligned_parts(mine, theirs, members)
+        assert sum(min(e, 800) - s for s, e, *_ in found) >= 795 and all(f[4] >= 0.8 for f in found)
+    assert passage_chains.chained_runs([(0, 10, 0, 10), (12, 30, 11, 29)]) == [[(0, 10, 0, 10), (12, 30, 11, 29)]]
+
+
+def test_inserted_text_does_not_lose_the_passages_around_it(spark):
+    rng = random.Random(14)
+    passages = [sentence(rng, 200) for _ in range(4)]
+    texts = [" ".join(p + " " + sentence(rng, 75) for p in passages), " ".join(passages)] + [sentence(rng, 50) for _ in range(3)]
+    rows = passage_chains.repeated_passages(frame(spark, texts)).collect()
+    assert {r.doc_id for r in rows} == {1} and max(r.span_end - r.span_start for r in rows) >= 795
