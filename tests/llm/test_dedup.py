@@ -284,3 +284,15 @@ def test_inserted_text_does_not_lose_the_passages_around_it(spark):
     texts = [" ".join(p + " " + sentence(rng, 75) for p in passages), " ".join(passages)] + [sentence(rng, 50) for _ in range(3)]
     rows = passage_chains.repeated_passages(frame(spark, texts)).collect()
     assert {r.doc_id for r in rows} == {1} and max(r.span_end - r.span_start for r in rows) >= 795
+
+
+def test_a_passage_whose_seeds_all_occur_by_chance_before(spark):
+    rng = random.Random(15)
+    passage = sentence(rng, 60).split()
+    # unrelated documents that hold every five-word window of the passage, but no more of it at a time
+    chance = [" ".join(sentence(rng, 12) + " " + " ".join(passage[i : i + 5]) for i in range(at, 56, 8)) + " " + sentence(rng, 12) for at in range(8)]
+    texts = [*chance, sentence(rng, 40) + " " + " ".join(passage) + " " + sentence(rng, 40), sentence(rng, 70) + " " + " ".join(passage) + " " + sentence(rng, 10)]
+    for parts in (1, 5):
+        rows = passage_chains.repeated_passages(frame(spark, texts).repartitionByRange(parts, "doc_id")).collect()
+        assert {(r.doc_id, r.other_id) for r in rows} == {(9, 8)}, parts
+        assert min(r.span_start for r in rows) <= 75 and max(r.span_end for r in rows) >= 125
