@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewarden.llm import chat_parts, edit_matching, language_kn, mixing, passage_chains, quality_trees, simhash_vp, token_rollup, token_store, url_graph
+from sitewarden.llm import chat_parts, edit_matching, filter_audit, language_kn, mixing, passage_chains, quality_trees, simhash_vp, token_rollup, token_store, url_graph
 from sitewarden.llm.common import table
 from sitewarden.session import new_path, stage
 
@@ -179,3 +179,55 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "token_store")
     token_store.write_store(table(spark, folder, "documents"), path, tokenizer_path())
     return token_store.read_store(spark, path)
+
+
+_AUDIT_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+  FROM documents
+), failed AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS f
+  FROM texts
+), marks AS (
+  SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic FROM labels GROUP BY doc_id
+), counted AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, f
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l
+), orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE a.l <> b.l AND a.l <> c.l AND a.l <> d.l AND a.l <> e.l AND b.l <> c.l AND b.l <> d.l AND b.l <> e.l AND c.l <> d.l AND c.l <> e.l AND d.l <> e.l
+), steps AS (
+  SELECT o, s, substr(o, s::INTEGER, 1) AS letter FROM orders, range(1, 6) AS r(s)
+), outcomes AS (
+  SELECT part, f, n, n_good, n_toxic, o, s, letter,
+    least(CASE WHEN contains(f, 'A') THEN strpos(o, 'A') ELSE 9 END, CASE WHEN contains(f, 'B') THEN strpos(o, 'B') ELSE 9 END,
+      CASE WHEN contains(f, 'C') THEN strpos(o, 'C') ELSE 9 END, CASE WHEN contains(f, 'D') THEN strpos(o, 'D') ELSE 9 END,
+      CASE WHEN contains(f, 'E') THEN strpos(o, 'E') ELSE 9 END) AS first_step
+  FROM counted, steps
+), report AS (
+  SELECT part, o, s, letter,
+    coalesce(sum(n) FILTER (WHERE first_step > s), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (WHERE first_step = s), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (WHERE first_step < s AND contains(f, letter)), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (WHERE f = letter), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n_good) FILTER (WHERE first_step = s), 0)::BIGINT AS good_lost,
+    coalesce(sum(n_toxic) FILTER (WHERE first_step = s), 0)::BIGINT AS toxic_lost
+  FROM outcomes GROUP BY part, o, s, letter
+)
+SELECT part, o AS filter_order, s::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM report
+"""
+
+
+@query("op11_packed_audit", _AUDIT_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
