@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewarden.llm import chat_parts, edit_matching, filter_audit, language_kn, mixing, passage_chains, quality_trees, simhash_vp, token_rollup, token_store, url_graph
+from sitewarden.llm import chat_parts, edit_matching, filter_audit, language_kn, mixing, passage_chains, quality_trees, simhash_tables, simhash_vp, token_rollup, token_store, url_graph
 from sitewarden.llm.common import table
 from sitewarden.session import new_path, stage
 
@@ -231,3 +231,48 @@ FROM report
 @query("op11_packed_audit", _AUDIT_SQL)
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_BIT_SUMS = ", ".join(f"sum(weight * ((hash >> {j}) & 1)) AS bit{j}" for j in range(64))
+_BIT_VALUES = " + ".join(f"CASE WHEN 2 * bit{j} > total THEN {1 << j}::UBIGINT ELSE 0::UBIGINT END" for j in range(64))
+_SIMHASH_SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+    coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id), first(coalesce(text, '')) OVER (ORDER BY doc_id)) AS next_t,
+    coalesce(lead(doc_id) OVER (ORDER BY doc_id), first(doc_id) OVER (ORDER BY doc_id)) AS next_id
+  FROM documents
+), sides AS (
+  SELECT doc_id, 0 AS side, t FROM docs
+  UNION ALL SELECT doc_id, 1, substr(t, 1, n - n // 4) || substr(next_t, 1, n // 4) FROM docs
+), words AS (
+  SELECT doc_id, side, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term FROM sides
+), weights AS (
+  SELECT term, least(10, length(bin((SELECT count(*) FROM documents) // count(DISTINCT doc_id)))) AS weight FROM words WHERE side = 0 GROUP BY term
+), hashes AS (
+  SELECT term, ('0x' || substr(md5(term), 1, 16))::UBIGINT AS hash FROM (SELECT DISTINCT term FROM words)
+), counted AS (
+  SELECT doc_id, side, term, count(*) AS tf FROM words GROUP BY doc_id, side, term
+), weighed AS (
+  SELECT doc_id, side, tf * coalesce(weight, 10) AS weight, hash FROM counted JOIN hashes USING (term) LEFT JOIN weights USING (term)
+), sums AS (
+  SELECT doc_id, side, sum(weight) AS total, {_BIT_SUMS} FROM weighed GROUP BY doc_id, side
+), prints AS (
+  SELECT doc_id, side, coalesce({_BIT_VALUES}, 0) AS fp FROM sides LEFT JOIN sums USING (doc_id, side)
+), near AS (
+  SELECT a.fp, sum(b.n) - 1 AS n_near
+  FROM (SELECT DISTINCT fp FROM prints WHERE side = 0) a JOIN (SELECT fp, count(*) AS n FROM prints WHERE side = 0 GROUP BY fp) b ON bit_count(xor(a.fp, b.fp)) <= 3
+  GROUP BY a.fp
+)
+SELECT d.doc_id, d.n AS n_chars, sha256(e.t) AS edited_sha256, printf('%016x', p.fp) AS fingerprint, printf('%016x', q.fp) AS edited_fingerprint,
+  round(greatest(0, cos(bit_count(xor(p.fp, q.fp)) * (pi() / 64))), 6) AS near_edited,
+  round(greatest(0, cos(bit_count(xor(p.fp, r.fp)) * (pi() / 64))), 6) AS near_next, n_near::BIGINT AS n_near
+FROM docs d JOIN sides e ON e.doc_id = d.doc_id AND e.side = 1 JOIN prints p ON p.doc_id = d.doc_id AND p.side = 0
+  JOIN prints q ON q.doc_id = d.doc_id AND q.side = 1 JOIN prints r ON r.doc_id = d.next_id AND r.side = 0 JOIN near ON near.fp = p.fp
+"""
+
+
+@query("op13_simhash_tables", _SIMHASH_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash_tables.with_edits(table(spark, folder, "documents"))
+    prints = [simhash_tables.hexed(F.col(c)).alias(n) for c, n in (("fp", "fingerprint"), ("edited_fp", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next", "n_near")
