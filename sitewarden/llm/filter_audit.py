@@ -16,26 +16,30 @@ the value 1; documents without labels count as neither good nor toxic; no docume
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import md5
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewarden.llm.common import steps, utf8
 from sitewarden.session import stage
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
 LEAST_DISTINCT = 50  # per cent of the words
 MOST_CAPITALS = 2  # per cent of the code points
-ODD_SIGNS = "[#$%&*|]"
 COPY_BIT = 1 << FILTERS.index("E")
 FIELD_BYTES = 8
 MAX_FILTERS = 6
-_BLANKS = "\t\n\x0b\x0c\r"
-_CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_ODD_SIGN = re.compile(rb"[#$%&*|]")
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
+_LATER_BYTES = bytes(range(0x80, 0xC0))  # all bytes of a code point but its first
 _STEP_OUTCOMES = ("kept", "removed", "redundant", "unique_fails")
 OUTCOMES = (*_STEP_OUTCOMES, "good_lost", "toxic_lost", "shapley")
 
@@ -105,31 +109,38 @@ def audit(counts: DataFrame, filters: str = FILTERS) -> DataFrame:
     return counts.select("part", "mask", "good", "toxic", "n").groupBy("part").applyInArrow(report, schema)
 
 
-def text_mask(text: Column, words: Column) -> Column:
+def text_fails(text: bytes) -> int:
     """Bits of the filters A to D that a text fails."""
-    n_words, n_chars = F.size(words), F.length(text)
-    capitals = n_chars - F.length(F.translate(text, _CAPITALS, ""))
-    fails = [
-        n_words < LEAST_WORDS,
-        F.lit(100) * F.size(F.array_distinct(words)) < LEAST_DISTINCT * n_words,
-        F.lit(100) * capitals.cast("bigint") > MOST_CAPITALS * n_chars.cast("bigint"),
-        text.rlike(ODD_SIGNS),
-    ]
-    mask = F.lit(0)
-    for i, failed in enumerate(fails):
-        mask = mask + F.when(failed, 1 << i).otherwise(0)
-    return mask.cast("int")
+    words = text.split()
+    n_chars = len(text.translate(None, _LATER_BYTES))
+    capitals = len(text) - len(text.translate(None, _CAPITALS))
+    fails = (
+        len(words) < LEAST_WORDS,
+        100 * len(set(words)) < LEAST_DISTINCT * len(words),
+        100 * capitals > MOST_CAPITALS * n_chars,
+        _ODD_SIGN.search(text) is not None,
+    )
+    return sum(1 << i for i, failed in enumerate(fails) if failed)
+
+
+def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, part, mask, digest) of (doc_id, part, text)."""
+    for batch in batches:
+        for rows in steps(batch):
+            texts = utf8(rows.column("text"))
+            masks = pa.array(list(map(text_fails, texts)), pa.int32())
+            digests = pa.array([md5(t, usedforsecurity=False).digest() for t in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), rows.column("part"), masks, digests], ["doc_id", "part", "mask", "digest"])
 
 
 def mask_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents per (part, mask, good, toxic), from their texts, copies among all texts and labels."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
-    words = F.array_remove(F.split(F.translate("text", _BLANKS, " " * len(_BLANKS)), " "), "")
-    masked = rows.withColumn("words", words).select("doc_id", "part", text_mask(F.col("text"), F.col("words")).alias("mask"), F.md5(F.col("text").cast("binary")).alias("digest"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("part"), "text")
+    failed = rows.mapInArrow(masked, "doc_id bigint, part string, mask int, digest binary")
     marked = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
     marked = marked.agg(F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic"))
     no = F.lit(False)
-    labelled = masked.join(marked, "doc_id", "left").withColumn("good", F.coalesce("good", no)).withColumn("toxic", F.coalesce("toxic", no))
+    labelled = failed.join(marked, "doc_id", "left").withColumn("good", F.coalesce("good", no)).withColumn("toxic", F.coalesce("toxic", no))
 
     group = ["digest", "part", "mask", "good", "toxic"]
     per_id = labelled.groupBy("doc_id", *group).agg(F.count(F.lit(1)).alias("n"))

@@ -245,15 +245,13 @@ WITH docs AS (
   SELECT doc_id, 0 AS side, t FROM docs
   UNION ALL SELECT doc_id, 1, substr(t, 1, n - n // 4) || substr(next_t, 1, n // 4) FROM docs
 ), words AS (
-  SELECT doc_id, side, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS term FROM sides
-), weights AS (
-  SELECT term, least(10, length(bin((SELECT count(*) FROM documents) // count(DISTINCT doc_id)))) AS weight FROM words WHERE side = 0 GROUP BY term
+  SELECT doc_id, side, unnest(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS term FROM sides
 ), hashes AS (
   SELECT term, ('0x' || substr(md5(term), 1, 16))::UBIGINT AS hash FROM (SELECT DISTINCT term FROM words)
 ), counted AS (
   SELECT doc_id, side, term, count(*) AS tf FROM words GROUP BY doc_id, side, term
 ), weighed AS (
-  SELECT doc_id, side, tf * coalesce(weight, 10) AS weight, hash FROM counted JOIN hashes USING (term) LEFT JOIN weights USING (term)
+  SELECT doc_id, side, tf * least(10, greatest(1, length(term) - 2)) AS weight, hash FROM counted JOIN hashes USING (term)
 ), sums AS (
   SELECT doc_id, side, sum(weight) AS total, {_BIT_SUMS} FROM weighed GROUP BY doc_id, side
 ), prints AS (

@@ -1,13 +1,12 @@
 """Document fingerprints: SimHash with weighted terms, and permuted block tables that find all fingerprints within a Hamming radius.
 
-Only DataFrame functions are used. A term is a word, lower-cased in A-Z. Its weight grows with its rarity: one more than the whole logarithm to base 2
-of documents by documents with the term, at most MAX_WEIGHT. Only terms under that weight need a table, and there are at most
-2 ** (MAX_WEIGHT - 1) times as many as a document has distinct words on average, whatever the size of the corpus. Each occurrence of a term adds its
-weight to the bits that its hash (the first half of its MD5) has set and takes it from the others; a fingerprint bit is set if its sum
-is positive.
+Only DataFrame functions are used. A term is a word as it stands. Longer words tell more: a term's weight is its length less two, 1 at least and MAX_WEIGHT at
+most. So a fingerprint depends on its text alone, and new documents leave the old ones' as they are. Each occurrence of a term adds its weight to the
+bits that its hash (the first half of its MD5) has set and takes it from the others; a fingerprint bit is set if its sum is positive.
 
 The 64 sums ride in 16 numbers with four fields each: a chunk of CHUNK_WORDS words cannot fill a field. Chunks of long texts are added up field by
-field after that. A document's words never leave its partition: only its packed sums are grouped.
+field after that. A document's words never leave its partition: only its packed sums are grouped. A text and its edited version share the
+sums of the words that the edit leaves alone.
 
 A row's key is its doc_id with a hash of its text. The order of documents is found on keys alone, by ranges; a document's first code points then
 go to the one before it, so that texts are shuffled once and a quarter of them once more. No task holds more than a range of keys.
@@ -17,7 +16,7 @@ one table holds every distinct fingerprint with those blocks moved to the front,
 holds it. Fronts with many fingerprints are dealt over salts. Copies share one entry.
 
 Cases: null text is empty; a text without words has fingerprint 0, which is compared like any other; rows with the same doc_id and text are one
-document for the order and the weights of neighbours, and each is returned; rows with one doc_id and several texts are ordered by
+document in the order, and each is returned; rows with one doc_id and several texts are ordered by
 a hash of the text; rows without doc_id come first; a single document is its own next one; no documents give no rows; other columns are not read.
 """
 
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sitewarden.session import fits, stage
+from sitewarden.session import stage
 
 BITS = 64
 RADIUS = 3
@@ -40,17 +39,17 @@ MAX_WEIGHT = 10
 CHUNK_WORDS = 3200
 LANES = 16
 HOT_FRONT = 512
-MAX_TABLE_TERMS = 2_000_000
 _BLANKS = "\t\n\x0b\x0c\r"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _FIELD = 1 << 16
 _LANE_MASK = sum(1 << (16 * f) for f in range(4))
 KEY = ["id", "h"]
 
 
-def terms(text: Column) -> Column:
-    """The words of a text, with empty ones where blanks meet."""
-    return F.split(F.translate(text, _UPPER + _BLANKS, _UPPER.lower() + " " * len(_BLANKS)), " ")
+def flat(text: Column) -> Column:
+    """The text with every blank as a space."""
+    for blank in _BLANKS:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
 
 
 def term_hash(term: Column) -> Column:
@@ -58,34 +57,21 @@ def term_hash(term: Column) -> Column:
     return F.conv(F.substring(F.md5(term.cast("binary")), 1, 16), 16, -10).cast("bigint")
 
 
-def term_table(texts: DataFrame) -> DataFrame:
-    """(term, weight, hash) of the terms under MAX_WEIGHT; every other term has that weight."""
-    n = texts.count()
-    held = texts.select(F.explode(F.array_distinct(terms(F.col("text")))).alias("term")).where("term <> ''")
-    counts = held.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weight = F.length(F.bin(F.expr(f"{n}L div df")))
-    rated = counts.select("term", weight.alias("weight")).where(F.col("weight") < MAX_WEIGHT)
-    table = stage(rated.withColumn("hash", term_hash(F.col("term"))), "terms")
-    return F.broadcast(table) if fits(table, MAX_TABLE_TERMS) else table
-
-
-def votes(sides: DataFrame, keys: list[str], table: DataFrame) -> DataFrame:
-    """(*keys, fp) of every text of `sides` (*keys, text). Keys must tell the texts apart."""
-    words = sides.select(*keys, F.posexplode_outer(terms(F.col("text"))).alias("pos", "term"))
-    found = words.join(table, "term", "left")
-    blank = F.col("term").isNull() | (F.col("term") == "")
-    weighed = found.select(
-        *keys,
-        F.floor(F.coalesce("pos", F.lit(0)) / CHUNK_WORDS).cast("int").alias("chunk"),
-        F.when(blank, 0).otherwise(F.coalesce("weight", F.lit(MAX_WEIGHT))).cast("bigint").alias("weight"),
-        F.when(blank, 0).otherwise(F.coalesce("hash", term_hash(F.col("term")))).alias("hash"),
-    )
+def packed_votes(pieces: DataFrame, keys: list[str]) -> DataFrame:
+    """Packed sums per (*keys, chunk) of the words of each piece (*keys, flat). Keys must tell the pieces apart."""
+    words = pieces.select(*keys, F.posexplode(F.split("flat", " ")).alias("pos", "term"))
+    weight = F.when(F.col("term") == "", 0).otherwise(F.least(F.greatest(F.length("term") - 2, F.lit(1)), F.lit(MAX_WEIGHT)))
+    weighed = words.select(*keys, F.floor(F.col("pos") / CHUNK_WORDS).cast("int").alias("chunk"), weight.cast("bigint").alias("weight"), term_hash(F.col("term")).alias("hash"))
     lanes = [F.sum(F.col("weight") * F.shiftrightunsigned("hash", k).bitwiseAND(F.lit(_LANE_MASK))).alias(f"lane{k}") for k in range(LANES)]
-    packed = weighed.groupBy(*keys, "chunk").agg(F.sum("weight").alias("total"), *lanes)
+    return weighed.groupBy(*keys, "chunk").agg(F.sum("weight").alias("total"), *lanes)
+
+
+def signed_bits(packed: DataFrame, keys: list[str]) -> DataFrame:
+    """(*keys, fp): the packed sums of each key added up, and the signs of their votes."""
     ones = [F.sum(F.shiftrightunsigned(f"lane{j % LANES}", 16 * (j // LANES)).bitwiseAND(F.lit(_FIELD - 1))).alias(f"bit{j}") for j in range(BITS)]
     summed = packed.groupBy(*keys).agg(F.sum("total").alias("total"), *ones)
-    signed = [F.when(2 * F.col(f"bit{j}") > F.col("total"), F.lit(_signed(1 << j))).otherwise(F.lit(0)).cast("bigint") for j in range(BITS)]
-    return summed.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), signed).alias("fp"))
+    bits = [F.when(2 * F.col(f"bit{j}") > F.col("total"), F.lit(_signed(1 << j))).otherwise(F.lit(0)).cast("bigint") for j in range(BITS)]
+    return summed.select(*keys, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("fp"))
 
 
 def _signed(bits: int) -> int:
@@ -115,22 +101,36 @@ def in_order(rows: DataFrame) -> DataFrame:
 
 
 def edited_texts(rows: DataFrame, order: DataFrame) -> DataFrame:
-    """(id, h, text, edited): the last quarter of a text replaced by the first code points of the next one."""
+    """(id, h, kept, rest, head): each text in two, and the first code points of the next one that its edited version has in place of the rest, a quarter of it."""
     texts = rows.groupBy(*KEY).agg(F.first("text").alias("text"))
     quarter = F.floor(F.col("n_chars") / 4).cast("int")
     asks = order.select(F.col("next_id").alias("id"), F.col("next_h").alias("h"), quarter.alias("asked"), F.col("id").alias("asker_id"), F.col("h").alias("asker_h"))
     heads = texts.join(asks, KEY).select(F.col("asker_id").alias("id"), F.col("asker_h").alias("h"), F.expr("left(text, asked)").alias("head"))
-    length = F.length("text")
-    kept = F.substring(F.col("text"), F.lit(1), length - F.floor(length / 4).cast("int"))
-    return texts.join(heads, KEY).select(*KEY, "text", F.concat(kept, F.col("head")).alias("edited"))
+    cut = texts.withColumn("n_kept", F.length("text") - F.floor(F.length("text") / 4).cast("int"))
+    halves = cut.select(*KEY, F.expr("left(text, n_kept)").alias("kept"), F.expr("substring(text, n_kept + 1)").alias("rest"))
+    return halves.join(heads, KEY)
+
+
+def edited_prints(texts: DataFrame) -> DataFrame:
+    """(id, h, sha, fp, edited_fp) of edited_texts: the last word of the kept part may go on in what follows, so it is counted there."""
+    edited = F.concat("kept", "head")
+    begun = texts.select(*KEY, F.unhex(F.sha2(edited.cast("binary"), 256)).alias("sha"), flat(F.col("kept")).alias("kept"), flat(F.col("rest")).alias("rest"), flat(F.col("head")).alias("head"))
+    begun = begun.withColumn("last", F.substring_index("kept", " ", -1))
+    shared = F.expr("left(kept, length(kept) - length(last))")
+    pieces = begun.select(*KEY, "sha", F.posexplode(F.array(shared, F.concat("last", "rest"), F.concat("last", "head"))).alias("piece", "flat"))
+    packed = packed_votes(pieces, [*KEY, "sha", "piece"])
+    # the shared piece counts for both versions
+    versions = F.when(F.col("piece") == 0, F.array(F.lit(0), F.lit(1))).when(F.col("piece") == 1, F.array(F.lit(0))).otherwise(F.array(F.lit(1)))
+    prints = signed_bits(packed.withColumn("version", F.explode(versions)), [*KEY, "sha", "version"])
+    of_version = [F.max(F.when(F.col("version") == v, F.col("fp"))) for v in (0, 1)]
+    return prints.groupBy(*KEY, "sha").agg(of_version[0].alias("fp"), of_version[1].alias("edited_fp"))
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
     """(doc_id, fp) of every row."""
     rows = keyed(docs)
-    table = term_table(rows)
-    prints = votes(rows.groupBy(*KEY).agg(F.first("text").alias("text")), KEY, table)
-    return rows.select("doc_id", *KEY).join(prints, KEY).select("doc_id", "fp")
+    pieces = rows.groupBy(*KEY).agg(F.first("text").alias("text")).select(*KEY, flat(F.col("text")).alias("flat"))
+    return rows.select("doc_id", *KEY).join(signed_bits(packed_votes(pieces, KEY), KEY), KEY).select("doc_id", "fp")
 
 
 def _masks(radius: int, blocks: int) -> list[int]:
@@ -181,13 +181,7 @@ def with_edits(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fp, edited_fp, near_edited, near_next, n_near) of every row."""
     rows = keyed(docs)
     order = stage(in_order(rows), "order")
-    table = term_table(rows)
-    pairs = edited_texts(rows, order).withColumn("sha", F.unhex(F.sha2(F.col("edited").cast("binary"), 256)))
-    sides = pairs.select(*KEY, "sha", F.posexplode(F.array("text", "edited")).alias("side", "text"))
-    keys = [*KEY, "sha", "side"]
-    of_side = [F.max(F.when(F.col("side") == s, F.col("fp"))) for s in (0, 1)]
-    prints = votes(sides, keys, table).groupBy(*KEY, "sha").agg(of_side[0].alias("fp"), of_side[1].alias("edited_fp"))
-    prints = stage(prints, "edited_prints")
+    prints = stage(edited_prints(edited_texts(rows, order)), "edited_prints")
     nexts = prints.select(F.col("id").alias("next_id"), F.col("h").alias("next_h"), F.col("fp").alias("next_fp"))
     found = order.join(prints, KEY).join(nexts, ["next_id", "next_h"])
     found = found.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
