@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewarden.llm import chat_parts, edit_matching, filter_audit, language_kn, mixing, passage_chains, quality_trees, simhash_tables, simhash_vp, token_rollup, token_store, url_graph
+from sitewarden.llm import chat_parts, dual_tree, edit_matching, filter_audit, language_kn, mixing, passage_chains, quality_trees, simhash_tables, simhash_vp, token_rollup, token_store, url_graph
 from sitewarden.llm.common import table
 from sitewarden.session import new_path, stage
 
@@ -233,6 +233,38 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+_SEARCH_SQL = r"""
+WITH doc_terms AS (
+  SELECT rid, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)
+), lengths AS (
+  SELECT rid, count(*) AS n FROM doc_terms GROUP BY rid
+), corpus AS (
+  SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths
+), counts AS (
+  SELECT rid, doc_id, term, count(*) AS tf FROM doc_terms GROUP BY rid, doc_id, term
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM counts, corpus GROUP BY term, docs
+), item_terms AS (
+  SELECT DISTINCT iid, item_id, term FROM (
+    SELECT iid, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS iid, item_id, text FROM benchmark))
+), scored AS (
+  SELECT iid, item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total))))::BIGINT AS score
+  FROM item_terms JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (rid), corpus
+  GROUP BY iid, item_id, rid, doc_id
+), ordered AS (
+  SELECT item_id, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ordered WHERE rank <= 10
+"""
+
+
+@query("op12_dual_tree", _SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return dual_tree.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 _BIT_SUMS = ", ".join(f"sum(weight * ((hash >> {j}) & 1)) AS bit{j}" for j in range(64))
 _BIT_VALUES = " + ".join(f"CASE WHEN 2 * bit{j} > total THEN {1 << j}::UBIGINT ELSE 0::UBIGINT END" for j in range(64))
 _SIMHASH_SQL = rf"""
