@@ -3,6 +3,7 @@
 A byte-level tokenizer cuts a text by a pattern and encodes the cuts one by one. So the ids of a text are those of its cuts, and each
 distinct cut goes through the library once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
 split before every space, which is a cut of the pattern unless the space lies inside a longer run of white space (those texts are cut whole).
+What a task remembers is bounded by bytes (KNOWN_BYTES of chunks, two generations of CUT_BYTES of cuts) and dropped with the task.
 Tokenizers with another pre-tokenizer encode whole texts. So do texts that contain the string of an added token (such as <|endoftext|>), which
 the library cuts out before its pattern.
 """
@@ -10,8 +11,11 @@ the library cuts out before its pattern.
 from __future__ import annotations
 
 import os
+from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +25,50 @@ import regex
 # fixed value: the pattern of the byte-level pre-tokenizer
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _INSIDE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x85] [\s\p{Z}\x0b\x1c-\x1f\x85]"
-MAX_KNOWN = 700_000
-LONG = 64
-GROUP = 512
+KNOWN_BYTES = 64_000_000
+CUT_BYTES = 24_000_000
+ENTRY_BYTES = 200  # of a remembered cut besides its characters and ids
+_SIGNS = frozenset(".,;:!?)")
+
+
+def _byte_chars() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if it can be seen, else one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return dict(zip(seen, map(chr, seen), strict=True)) | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in set(seen))}
+
+
+_BYTE_CHARS = _byte_chars()
+_NO_BYTE = 0xFF  # in no UTF-8 text
+_ID = attrgetter("id")
+
+
+class Cuts:
+    """Cuts with their ids, as many of those last used as two generations hold."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.size = 0
+
+    def missing(self, cuts: Iterable[str]) -> list[str]:
+        """Those that are not known. The others are kept for the present step."""
+        young, old = self.young, self.old
+        missing = []
+        for cut in cuts:
+            if cut not in young:
+                if cut in old:
+                    young[cut] = old[cut]
+                else:
+                    missing.append(cut)
+        return missing
+
+    def add(self, cuts: list[str], ids: list[bytes]) -> None:
+        self.young.update(zip(cuts, ids, strict=True))
+        self.size += ENTRY_BYTES * len(cuts) + sum(map(len, ids)) + sum(map(len, cuts))
+
+    def trim(self) -> None:
+        if self.size > CUT_BYTES:
+            self.old, self.young, self.size = self.young, {}, 0
 
 
 class Encoder:
@@ -37,28 +82,41 @@ class Encoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.by_cuts = self.by_cuts and not any("\n" in t for t in added)
         self.added = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in t) for t in added)
-        self.cuts: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
-        self.line_end = self._encode(["\n"])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.cuts = Cuts()
+        self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, cuts: set[str]) -> None:
-        """Encode new cuts. Those without white space but a leading space stand on lines of their own in one call."""
-        new = [c for c in cuts if c not in self.cuts]
-        alone = [c for c in new if c.isspace() or "\n" in c or len(c) > LONG]
-        lined = [c for c in new if not (c.isspace() or "\n" in c or len(c) > LONG)]
-        self.cuts.update(zip(alone, self._encode(alone), strict=True))
-        for start in range(0, len(lined), GROUP):
-            group = lined[start : start + GROUP]
-            raw = self._encode(["\n".join(group)])[0]
-            ends = (4 * np.flatnonzero(np.frombuffer(raw, "<u4") == np.frombuffer(self.line_end, "<u4")[0])).tolist()
-            if len(ends) == len(group) - 1:
-                ids = [raw[a:b] for a, b in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True)]
-            else:
-                ids = self._encode(group)
-            self.cuts.update(zip(group, ids, strict=True))
+    def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
+        """The ids of each cut: what the model makes of its bytes, each byte as the character that stands for it."""
+        if not cuts:
+            return []
+        tokenize = self.tokenizer.model.tokenize
+        written = bytes((_NO_BYTE,)).join([c.encode() for c in cuts]).decode("latin-1").translate(_BYTE_CHARS).split(_BYTE_CHARS[_NO_BYTE])
+        return [array("I", map(_ID, tokenize(c))).tobytes() for c in written]
+
+    def _cut_ids(self, cuts: list[list[str]]) -> list[bytes]:
+        """The ids of texts that are given as their cuts."""
+        new = self.cuts.missing(set(chain.from_iterable(cuts)))
+        self.cuts.add(new, self._encode_cuts(new))
+        of_cut = self.cuts.young.__getitem__
+        return [b"".join(map(of_cut, c)) for c in cuts]
+
+    def _chunk_ids(self, chunks: list[str]) -> pa.Array:
+        """The ids of chunks after a space. One of letters is one cut with its space, a sign after letters is another."""
+        ids: list[bytes | None] = [None] * len(chunks)
+        words = [i for i, c in enumerate(chunks) if c.isalpha()]
+        for i, found in zip(words, self._encode_cuts([" " + chunks[i] for i in words]), strict=True):
+            ids[i] = found
+        mixed = [i for i, found in enumerate(ids) if found is None]
+        cuts = [[" " + c[:-1], c[-1]] if c[-1:] in _SIGNS and c[:-1].isalpha() else _CUT.findall(" " + c) for c in map(chunks.__getitem__, mixed)]
+        for i, found in zip(mixed, self._cut_ids(cuts), strict=True):
+            ids[i] = found
+        return pa.array(ids, pa.large_binary())
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The token ids of all texts, one after another, and how many each has. Null is empty."""
@@ -82,44 +140,39 @@ class Encoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], dtype=np.int64)
 
     def _by_cuts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        for known in (self.cuts, self.chunks):
-            if len(known) > MAX_KNOWN:
-                known.clear()
+        if not len(texts):
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        self.cuts.trim()
         odd = pc.match_substring_regex(texts, _INSIDE_RUN)
         # texts to cut whole keep one part
         parts = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
         sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
         firsts = np.cumsum(sizes) - sizes
         coded = pc.list_flatten(parts).dictionary_encode()
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        later = np.ones(len(which), dtype=bool)
-        later[firsts] = False
-        wanted = np.zeros(len(coded.dictionary), dtype=bool)
-        wanted[which[later]] = True
-        chunks = [c if w else None for c, w in zip(coded.dictionary.to_pylist(), wanted.tolist(), strict=True)]
-        heads = pc.if_else(odd, texts, coded.dictionary.take(coded.indices.take(pa.array(firsts)))).to_pylist()
-        new = {c: (" " + c,) if c.isalpha() else _CUT.findall(" " + c) for c in chunks if c is not None and c not in self.chunks}
-        head_cuts = [_CUT.findall(h) for h in heads]
-        self._learn(set(chain.from_iterable(chain(new.values(), head_cuts))))
-        of_cut = self.cuts.__getitem__
-        for chunk, cuts in new.items():
-            self.chunks[chunk] = of_cut(cuts[0]) if len(cuts) == 1 else b"".join(map(of_cut, cuts))
-        raw = [b"" if c is None else self.chunks[c] for c in chunks] + [b"".join(map(of_cut, cuts)) for cuts in head_cuts]
-        for known, used in ((self.chunks, new), (self.cuts, chain.from_iterable(head_cuts))):
-            for key in [k for k in used if len(k) > LONG]:
-                known.pop(key, None)
+        chunks, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        heads = pc.if_else(odd, texts, chunks.take(pa.array(codes[firsts]))).to_pylist()
+        # a chunk that only begins texts is learned, too: few are
+        place = pc.index_in(chunks, value_set=self.known)
+        new = chunks.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        ids = pa.concat_arrays([self.known_ids, self._chunk_ids(new.to_pylist())])
         # every place takes the ids of its chunk, or of its text's head
-        which[firsts] = len(chunks) + np.arange(len(heads))
-        length = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw)) // 4
-        pool = np.frombuffer(b"".join(raw), "<u4")
-        begin = (np.cumsum(length) - length)[which]
-        counts = length[which]
-        ends = np.cumsum(counts)
-        ids = pool[np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-        return ids, np.add.reduceat(counts, firsts) if len(firsts) else sizes
+        which = place[codes]
+        which[firsts] = len(ids) + np.arange(len(heads))
+        head_ids = pa.array(self._cut_ids([_CUT.findall(h) for h in heads]), pa.large_binary())
+        found = pa.concat_arrays([ids, head_ids]).take(pa.array(which))
+        if self.known.nbytes + ids.nbytes > KNOWN_BYTES:
+            self.known, self.known_ids = chunks, ids.take(pa.array(place))
+        else:
+            self.known, self.known_ids = pa.concat_arrays([self.known, new]), ids
+        _, offsets, data = found.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(found) + 1, 8 * found.offset) // 4
+        all_ids = np.frombuffer(data, "<u4", bounds[-1])[bounds[0] :] if bounds[-1] else np.zeros(0, dtype="<u4")
+        return all_ids, np.diff(np.append(bounds[firsts], bounds[-1]))
 
 
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """One per Python worker, so that later tasks of the worker find its words."""
+    """One per Python worker. A task that is done with it calls forget()."""
     return Encoder(path)

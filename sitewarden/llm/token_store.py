@@ -35,7 +35,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
-        encode_texts = encoder(tokenizer).ids
+        words = encoder(tokenizer)
         doc_ids: list[int | None] = []
         held: list[np.ndarray] = []
         size = 0
@@ -51,7 +51,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
 
         for batch in batches:
             for piece in steps(batch, limit=STEP_BYTES):
-                ids, counts = encode_texts(piece.column("text"))
+                ids, counts = words.ids(piece.column("text"))
                 for doc_id, own in zip(piece.column("doc_id").to_pylist(), np.split(ids, np.cumsum(counts)[:-1]), strict=True):
                     doc_ids.append(doc_id)
                     held.append(np.append(own, end))
@@ -59,6 +59,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID
                     if size >= SEGMENT_TOKENS:
                         yield close()
                         seq, size = seq + 1, 0
+        words.forget()
         if doc_ids:
             yield close()
 
