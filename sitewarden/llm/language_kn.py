@@ -33,15 +33,16 @@ ORDER = 4
 MIN_SHARE = 1e-5
 MAX_LANGUAGES = 256
 SYMBOLS = 65_536
-# a task hands on its counts when it holds so many
-FLUSH = 2_000_000
+# a task hands on its counts when it holds so many different ones
+FLUSH = 1_000_000
+STEP_BYTES = 500_000  # a step holds about a hundred bytes for each of text
 SLOT_BITS = 20
 
 
 @lru_cache(maxsize=1)
 def letter_codes() -> np.ndarray:
     """For each code point its lower-case letter, 0 for anything that is not a letter."""
-    codes = np.zeros(0x110000, dtype=np.uint64)
+    codes = np.zeros(0x110000, dtype=np.uint16)
     for point in range(0x110000):
         char = chr(point)
         if char.isalpha():
@@ -74,9 +75,9 @@ def letter_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def keys_at(codes: np.ndarray, at: np.ndarray, order: int) -> np.ndarray:
     """Key of the gram of `order` letters that ends at each place."""
-    key = codes[at]
+    key = codes[at].astype(np.uint64)
     for i in range(1, order):
-        key = key | (codes[at - i] << np.uint64(16 * i))
+        key |= codes[at - i].astype(np.uint64) << np.uint64(16 * i)
     return key
 
 
@@ -96,16 +97,22 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     size = 0
 
-    def out() -> Iterator[pa.RecordBatch]:
+    def fold() -> int:
+        """Merge the counts of the steps; how many are left."""
         for lang, parts in held.items():
-            keys, n = tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
+            held[lang] = [tally(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))]
+        return sum(len(parts[0][0]) for parts in held.values())
+
+    def out() -> Iterator[pa.RecordBatch]:
+        fold()
+        for lang, [(keys, n)] in held.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"]
             )
         held.clear()
 
     for batch in batches:
-        for part in steps(batch):
+        for part in steps(batch, limit=STEP_BYTES):
             by_lang: dict[str, list[bytes]] = {}
             for lang, text in zip(part.column("lang").to_pylist(), utf8(part.column("text")), strict=True):
                 by_lang.setdefault(lang, []).append(text)
@@ -114,9 +121,11 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = tally(keys_at(codes, at, ORDER))
                 held.setdefault(lang, []).append(found)
                 size += len(found[0])
-        if size > FLUSH:
-            yield from out()
-            size = 0
+                if size > FLUSH:
+                    size = fold()
+                    if 2 * size > FLUSH:
+                        yield from out()
+                        size = 0
     yield from out()
 
 
@@ -331,7 +340,7 @@ def judge(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP_BYTES):
                 columns = [part.column(c) for c in keep]
                 verdict = shared.value.judge(utf8(part.column("text")))
                 kinds = [pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.float64(), pa.bool_()]
@@ -347,7 +356,7 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in steps(batch):
+            for part in steps(batch, limit=STEP_BYTES):
                 rejected = shared.value.judge(utf8(part.column("text")))["rejected"]
                 yield part.filter(pa.array([not r for r in rejected], pa.bool_()))
 
