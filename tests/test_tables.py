@@ -6,6 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sitewarden.functions.geodesy import WGS84_F, geodesic_m
+from sitewarden.operators import neardup
 from sitewarden.operators import quality as ql
 from sitewarden.operators import reports as rp
 from sitewarden.operators.filters import filter_sites_by_iso, first_per_key
@@ -47,6 +49,40 @@ def test_near_duplicates_follow_arrival_order(spark):
     got = drop_near_duplicates(new, old, method="haversine").select("ord").collect()
     assert sorted(r.ord for r in got) == sorted(k[0] for k in kept)
     assert drop_near_duplicates(new.limit(0)).count() == 0
+    # blocks of a few radii: chains cross many borders
+    tiny = drop_near_duplicates(new, old, method="haversine", block_km=0.3).select("ord").collect()
+    assert sorted(r.ord for r in tiny) == sorted(k[0] for k in kept)
+
+
+def test_long_chains_take_few_rounds(spark, monkeypatch):
+    """10,000 detections, each within reach of the one before: every second one stays, and the rounds are few."""
+    day = dt.date(2024, 1, 1)
+    rounds = []
+    one_round = neardup._one_round
+    monkeypatch.setattr(neardup, "_one_round", lambda *a: rounds.append(a[-1]) or one_round(*a))
+    chain = [(i, "A", day, 60, -45.0 + i * 0.0007, 0.0) for i in range(10_000)]
+    got = drop_near_duplicates(spark.createDataFrame(chain, FIRES)).select("ord").collect()
+    assert sorted(r.ord for r in got) == list(range(0, 10_000, 2))
+    assert len(rounds) < 10
+
+
+def test_incomplete_detections_stay(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [(1, None, day, 60, 1.0, 1.0), (2, None, day, 60, 1.0, 1.0), (3, "A", day, 60, None, 1.0), (4, "A", day, 60, 1.0, 1.0), (5, "A", day, 60, 1.0, 1.0), (6, "A", None, 60, 1.0, 1.0)]
+    got = drop_near_duplicates(spark.createDataFrame(rows, FIRES)).select("ord").collect()
+    assert sorted(r.ord for r in got) == [1, 2, 3, 4, 6]
+
+
+@pytest.mark.parametrize("method", ["spheroid", "haversine"])
+def test_distance_of_the_walk_is_that_of_the_columns(spark, method):
+    rng = random.Random(4)
+    pairs = [(la, lo, la + rng.uniform(-0.01, 0.01), lo + rng.uniform(-0.01, 0.01)) for la, lo in [(rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(50)]]
+    frame = spark.createDataFrame([*pairs, (10.0, 20.0, 10.0, 20.0), (0.0, 179.9999, 0.0, -179.9999)], "a double, b double, c double, d double")
+    rows = frame.select("*", geodesic_m(F.col("a"), F.col("b"), F.col("c"), F.col("d"), method).alias("m")).collect()
+    block = neardup._Block(100.0, method)
+    for r in rows:
+        lat = [math.atan((1 - WGS84_F) * math.tan(math.radians(x))) if method == "spheroid" else math.radians(x) for x in (r.a, r.c)]
+        assert block.metres(lat[0], math.radians(r.b), lat[1], math.radians(r.d)) == pytest.approx(r.m, abs=1e-6)
 
 
 def test_merge_keeps_what_is_not_updated(spark):
