@@ -102,6 +102,67 @@ SCORES6 = [
 
 _ISO = "list_value('IT', 'BR', 'FR', 'CN', 'GR', 'US', 'TR')"
 
+_TREES, _SAMPLE, _DEPTH, _SEED = 200, 256, 8, 42
+
+
+def _forest() -> dict[str, tuple[list[str], str]]:
+    """An isolation forest level by level: every site walks down every tree, the members of its sample set the cuts."""
+    columns = ["urban_density_score", "climate_anomaly_score", "seismic_risk_score", "fire_risk_score", "flood_risk_score", "coastal_risk_score"]
+    xs = [f"x{i}" for i in range(len(columns))]
+
+    def draw(text: str) -> str:
+        return f"(('0x' || substr(md5({text}), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+    def mean_path(n: str) -> str:
+        return f"CASE WHEN {n} <= 1 THEN 0::DOUBLE WHEN {n} = 2 THEN 1::DOUBLE ELSE 2 * (ln({n} - 1) + 0.5772156649015329::DOUBLE) - 2 * ({n} - 1)::DOUBLE / {n} END"
+
+    blocks = {
+        "forest_rows": (["scores"], f"SELECT site_id, {', '.join(f'round(coalesce({c}, 0), 9) AS {x}' for c, x in zip(columns, xs, strict=True))} FROM scores"),
+        "forest_size": (
+            ["forest_rows"],
+            f"""SELECT psi, share, least(1::DOUBLE, {_TREES} * share) AS any_share, ceil(log2(greatest(psi, 2))) AS depth FROM (
+            SELECT least({_SAMPLE}, count(*)) AS psi, least(1::DOUBLE, 3::DOUBLE * least({_SAMPLE}, count(*)) / greatest(count(*), 1)) AS share FROM forest_rows)""",
+        ),
+        "forest_l0": (
+            ["forest_rows", "forest_size"],
+            f"""SELECT tree, 1 AS node, site_id, drawn AND row_number() OVER (PARTITION BY tree, drawn ORDER BY u, site_id) <= psi AS member, {', '.join(xs)} FROM (
+            SELECT *, u <= share / any_share AND {draw(f"'{_SEED}|any|' || site_id")} < any_share AS drawn FROM (
+            SELECT f.*, t.tree, z.*, {draw(f"'{_SEED}|' || t.tree || '|' || site_id")} AS u FROM forest_rows f, range({_TREES}) t(tree), forest_size z))""",
+        ),
+    }
+    for d in range(_DEPTH + 1):
+        lows, highs = (", ".join(f"{fn}({x}) FILTER (WHERE member)" for x in xs) for fn in ("min", "max"))
+        blocks[f"forest_n{d}"] = ([f"forest_l{d}"], f"SELECT tree, node, count(*) FILTER (WHERE member) AS m, [{lows}] AS lows, [{highs}] AS highs FROM forest_l{d} GROUP BY tree, node")
+        blocks[f"forest_c{d}"] = (
+            [f"forest_n{d}", "forest_size"],
+            f"""SELECT tree, node, f, low + {draw(f"'{_SEED}|' || tree || '|' || node || '|cut'")} * (high - low) AS cut FROM (
+            SELECT tree, node, arg_min(f, h) AS f, arg_min(low, h) AS low, arg_min(high, h) AS high FROM (
+            SELECT *, md5('{_SEED}|' || tree || '|' || node || '|feature|' || f) AS h FROM (
+            SELECT tree, node, unnest(range({len(xs)})) AS f, unnest(lows) AS low, unnest(highs) AS high FROM forest_n{d}) WHERE high > low AND {d} < (SELECT depth FROM forest_size))
+            GROUP BY tree, node)""",
+        )
+        if d < _DEPTH:
+            x_of = "CASE f " + " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(xs)) + " END"
+            blocks[f"forest_l{d + 1}"] = (
+                [f"forest_l{d}", f"forest_c{d}"],
+                f"SELECT tree, 2 * node + CASE WHEN {x_of} > cut THEN 1 ELSE 0 END AS node, site_id, member, {', '.join(xs)} FROM forest_l{d} JOIN forest_c{d} USING (tree, node)",
+            )
+    leaves = " UNION ALL ".join(
+        f"SELECT site_id, {d} + {mean_path('m')} AS path FROM forest_l{d} JOIN forest_n{d} USING (tree, node) ANTI JOIN forest_c{d} USING (tree, node)" for d in range(_DEPTH + 1)
+    )
+    blocks["forest_raw"] = (
+        [f"forest_{k}{d}" for d in range(_DEPTH + 1) for k in "lnc"],
+        f"""SELECT site_id, round(CASE WHEN norm > 0 THEN -power(2, -(sum(path) / {_TREES}) / norm) ELSE -0.5 END, 12) AS raw
+        FROM ({leaves}), (SELECT {mean_path('psi')} AS norm FROM forest_size) GROUP BY site_id, norm""",
+    )
+    blocks["forest"] = (
+        ["forest_raw"],
+        """SELECT site_id, score AS isolation_forest_score, score < 0 AS is_anomaly FROM (
+        SELECT site_id, round(raw - (SELECT quantile_cont(raw, 0.1) FROM forest_raw), 12) AS score FROM forest_raw)""",
+    )
+    return blocks
+
+
 # name -> (dependencies, body)
 CTES: dict[str, tuple[list[str], str]] = {
     "sites": (
@@ -259,10 +320,10 @@ CTES: dict[str, tuple[list[str], str]] = {
         + fire_risk_score * 0.15::DOUBLE + flood_risk_score * 0.1::DOUBLE + coastal_risk_score * 0.1::DOUBLE))
         AS composite_risk_score FROM subscores)""",
     ),
+    **_forest(),
     "flagged": (
-        ["scores"],
-        """SELECT *, CAST((site_id * 37) % 101 - 20 AS DOUBLE) / 200::DOUBLE AS isolation_forest_score,
-        (site_id * 7) % 10 = 0 AS is_anomaly FROM scores""",
+        ["scores", "forest"],
+        """SELECT s.*, isolation_forest_score, is_anomaly FROM scores s JOIN forest f ON s.site_id = f.site_id""",
     ),
     "view": (
         ["sites", "flagged"],

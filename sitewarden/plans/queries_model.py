@@ -60,12 +60,15 @@ def ml_features(t):
     return rounded(fl.feature_matrix(holes), *SCORES)
 
 
-@query("ml_isolation_forest")
+@query("ml_isolation_forest", f"{W('forest')} SELECT site_id, {r('isolation_forest_score')}, is_anomaly FROM forest")
 def ml_isolation_forest(t):
     return rounded(isolation_forest(t.scores), "isolation_forest_score")
 
 
-@query("ml_anomaly_flags")
+@query(
+    "ml_anomaly_flags",
+    f"{W('flagged')} SELECT site_id, {r('composite_risk_score')}, risk_level, {r('isolation_forest_score')}, is_anomaly FROM flagged",
+)
 def ml_anomaly_flags(t):
     out = attach_anomalies(t.scores, isolation_forest(t.scores))
     return rounded(

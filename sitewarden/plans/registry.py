@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sitewarden.constants import RISK_LEVELS, SCORE_COLUMNS
 from sitewarden.operators.filters import coalesce_scores
+from sitewarden.operators.isolation import attach_anomalies, isolation_forest
 from sitewarden.plans import fixtures
 from sitewarden.plans.scoring import risk_scores
 from sitewarden.session import new_path, resolve_strategy, stage
@@ -70,26 +71,24 @@ class Tables:
             self.sites, self.urban, self.climate, self.quakes, self.fires, self.floods, strategy=self.strategy
         )
 
-    @cached_property
-    def scores(self) -> DataFrame:
-        """The stored risk_scores table: computed once per session and data folder, then read back."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, "risk_scores")
+    def _stored_table(self, name: str, compute: Callable[[], DataFrame]) -> DataFrame:
+        """A table that is computed once per session and data folder, then read back."""
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _stored:
-            path = new_path(self.spark, "risk_scores")
-            self.compute_scores().write.parquet(path)
+            path = new_path(self.spark, name)
+            compute().write.parquet(path)
             _stored[key] = path
         return self.spark.read.parquet(_stored[key])
 
+    @cached_property
+    def scores(self) -> DataFrame:
+        """The stored risk_scores table."""
+        return self._stored_table("risk_scores", self.compute_scores)
+
     @cached_property
     def flagged(self) -> DataFrame:
-        """Stored scores with a deterministic anomaly flag, so reports can be compared with SQL."""
-        k = F.col("site_id")
-        return self.scores.withColumns(
-            {
-                "isolation_forest_score": ((k * 37) % 101 - 20).cast("double") / 200.0,
-                "is_anomaly": (k * 7) % 10 == 0,
-            }
-        )
+        """Stored scores with the forest's score and flag."""
+        return self._stored_table("flagged_scores", lambda: attach_anomalies(self.scores, isolation_forest(self.scores)))
 
     @cached_property
     def view(self) -> DataFrame:
