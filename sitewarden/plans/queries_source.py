@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewarden.plans.oracle import r, with_ctes
@@ -68,9 +69,23 @@ def src_sites_xml(t):
     return _sites_out(st.read_sites_xml(t.spark, t.landed(rows, "sites_xml", "xml", rowTag="row", rootTag="query")))
 
 
+def landed_document(t, rows: DataFrame, name: str, head: str, tail: str) -> str:
+    """The rows as one JSON document, written as a stream by one task, as a feed would be."""
+    path = new_path(t.spark, name)
+    # an empty object first, so that every other one follows a comma
+    first = t.spark.range(1).select(F.lit(head + "{}").alias("value"), F.lit(0).alias("place"))
+    objects = rows.select(F.to_json(F.struct("*")).alias("value"))
+    rest = objects.select(F.concat(F.lit(", "), "value").alias("value"), F.lit(1).alias("place"))
+    last = t.spark.range(1).select(F.lit(tail).alias("value"), F.lit(2).alias("place"))
+    document = first.unionByName(rest).unionByName(last).coalesce(1).sortWithinPartitions("place")
+    document.select("value").write.option("lineSep", " ").text(path)
+    return path
+
+
 @query("src_sites_json", _SITES_SQL)
 def src_sites_json(t):
-    return _sites_out(st.read_sites_json(t.spark, t.landed(_site_rows(t), "sites_json", "json"), multiline=False))
+    path = landed_document(t, _site_rows(t), "sites_json", "[", "]")
+    return _sites_out(st.read_sites_json(t.spark, path))
 
 
 @query("src_sites_fallback", _SITES_SQL)
@@ -122,8 +137,8 @@ def _quakes_out(df):
 
 @query("src_quakes_geojson", _QUAKES_SQL)
 def src_quakes_geojson(t):
-    path = t.landed(_features(t).drop("event_time"), "quakes", "json")
-    return _quakes_out(hz.read_quakes(t.spark, path, lines=True))
+    path = landed_document(t, _features(t).drop("event_time"), "quakes", '{"type": "FeatureCollection", "metadata": {"title": "all } of \\"it\\" {["}, "features": [', "]}")
+    return _quakes_out(hz.read_quakes(t.spark, path))
 
 
 @query("src_quakes_by_year", _QUAKES_SQL)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sitewarden.constants import RISK_COLORS
@@ -16,6 +19,13 @@ from sitewarden.sources import sinks
 W = with_ctes
 
 
+def merged(t, name: str, current: DataFrame, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The table after `change`: both states are written versions, the second is read back."""
+    base = new_path(t.spark, name)
+    sinks.write_version(current, base)
+    return sinks.next_version(t.spark, base, change)
+
+
 @query(
     "snk_upsert_sites",
     f"""{W('sites')} SELECT whc_id, CASE WHEN site_id % 6 IN (0, 2, 3, 4) THEN name || ' new' ELSE name END AS name, country,
@@ -38,7 +48,7 @@ def snk_upsert_sites(t):
             }
         )
     )
-    out = sinks.upsert_sites(cur, new).withColumn("touched", F.col("updated_at").isNotNull())
+    out = merged(t, "sites", cur, lambda c: sinks.upsert_sites(c, new)).withColumn("touched", F.col("updated_at").isNotNull())
     return rounded(out.select("whc_id", "name", "country", "area_hectares", "lon", "touched"), "area_hectares", "lon")
 
 
@@ -76,7 +86,7 @@ def snk_upsert_quakes(t):
     e = F.substring("usgs_id", 3, 20).cast("long")
     cur = t.quakes.where(e % 3 != 0).withColumn("nearest_site_id", e % 10)
     new = t.quakes.where((e % 2 == 0) | (e % 3 == 0)).withColumns({"magnitude": F.col("magnitude") + 1, "lon": F.col("lon") + 1})
-    out = sinks.upsert_quakes(cur, new).select(
+    out = merged(t, "quakes", cur, lambda c: sinks.upsert_quakes(c, new)).select(
         "usgs_id", "magnitude", "lon", F.coalesce("nearest_site_id", F.lit(-1)).cast("long").alias("nearest_site_id")
     )
     return rounded(out, "magnitude", "lon")
@@ -92,7 +102,7 @@ def snk_insert_fires(t):
     rows = copies_of(t)
     first = (F.col("copy") == 0) & (F.col("ord") % 7 == 0)
     stored, new = rows.where(first), rows.where(~first)
-    return sinks.insert_fires(stored, new, method="haversine").select("ord")
+    return merged(t, "fires", stored, lambda c: sinks.insert_fires(c, new, method="haversine")).select("ord")
 
 
 _FLOOD_KEY = "event_id % 100 AS nearest_site_id, event_date"
@@ -116,7 +126,7 @@ def snk_upsert_floods(t):
     cur = last_per_key(base.where(e % 2 == 1).withColumn("nearest_site_id", e % 100), keys, "event_id")
     cur = cur.withColumn("distance_to_site_km", F.lit(5.0))
     new = base.where(e % 2 == 0).withColumn("nearest_site_id", (e + 1) % 100)
-    out = sinks.upsert_floods(cur, new, order="event_id")
+    out = merged(t, "floods", cur, lambda c: sinks.upsert_floods(c, new, order="event_id"))
     return texts(rounded(out.drop("lat"), "flood_intensity", "lon"), "event_date")
 
 
@@ -154,7 +164,7 @@ def snk_upsert_scores(t):
         .withColumns({c: F.col(c) / 2 for c in columns})
         .withColumn("risk_level", F.lit(None).cast("string"))
     )
-    out = sinks.upsert_scores(cur, new).withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
+    out = merged(t, "scores", cur, lambda c: sinks.upsert_scores(c, new)).withColumn("is_anomaly", F.coalesce("is_anomaly", F.lit(False)))
     return rounded(out.select("site_id", *columns, "risk_level", "is_anomaly"), *columns)
 
 
@@ -169,7 +179,7 @@ def snk_update_columns(t):
     upd = t.urban_raw.where(k % 2 == 0).select(
         (k * 0.5).cast("double").alias("density_score"), F.lit("updated").alias("feature_type"), "id"
     )
-    out = update_matched(cur, upd, ["id"], ["feature_type", "density_score"])
+    out = merged(t, "features", cur, lambda c: update_matched(c, upd, ["id"], ["feature_type", "density_score"]))
     return rounded(
         out.select("id", F.coalesce("density_score", F.lit(-1.0)).alias("density_score"), "feature_type"), "density_score"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -31,15 +32,30 @@ def scalar_of(df: DataFrame, value: Column) -> Column:
     return df.agg(value.alias("v")).scalar()
 
 
+_ONE_MACHINE = ("/tmp", "/var/tmp", "/dev/shm", "/run", "/private/tmp")
+
+
+def _of_one_machine(spark: SparkSession, root: str) -> bool:
+    """True for the temporary folders of the local file system, whether the scheme is named or the default one.
+
+    Other local paths may be mounts that all machines share; that cannot be told from here.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        return False
+    name = os.path.normpath(path.toUri().getPath())
+    return any(name == p or name.startswith(f"{p}/") for p in (*_ONE_MACHINE, tempfile.gettempdir()))
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables: spark.checkpoint.dir, a temporary one only on local[*]."""
+    local = spark.sparkContext.master.startswith("local")
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        if root.startswith("file:/tmp") or root.startswith("file:///tmp"):
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError(f"{root} is a folder of one machine; spark.checkpoint.dir has to be shared")
+        if not local and _of_one_machine(spark, root):
+            raise ValueError(f"{root} is a folder of one machine; spark.checkpoint.dir has to be shared")
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not local:
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:

@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitewarden.functions.scalars import from_epoch_ms, normalize_confidence, to_day, to_minutes
 from sitewarden.operators.filters import first_per_key
+from sitewarden.sources.documents import json_elements
 
 _FEATURE = (
     "id string, properties struct<mag:double, magType:string, place:string, time:bigint, sig:int, mmi:double, "
@@ -22,15 +22,13 @@ def read_quakes(spark: SparkSession, path: str | Sequence[str], lines: bool = Fa
     """GeoJSON feature collections -> one row per quake.
 
     Features without id, time, magnitude or position are dropped; a missing place stays NULL.
-    `lines=True` reads one feature per line: such a file is split over many tasks, a collection is
-    one document and therefore one task per file.
+    A collection is read by as many tasks as its size asks for. `lines=True` reads one feature per line.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if lines:
         features = spark.read.schema(_FEATURE).json(paths)
     else:
-        collection = T.StructType([T.StructField("features", T.ArrayType(T.StructType.fromDDL(_FEATURE)))])
-        features = spark.read.schema(collection).option("multiLine", True).json(paths).select(F.inline("features"))
+        features = json_elements(spark, paths, level=2).select(F.from_json("text", _FEATURE).alias("f")).select("f.*")
     p, xyz = F.col("properties"), F.col("geometry.coordinates")
     quakes = features.select(
         F.col("id").alias("usgs_id"),

@@ -82,6 +82,15 @@ def write_version(df: DataFrame, base: str, partition_by: list[str] | None = Non
     return path
 
 
+def next_version(spark: SparkSession, base: str, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply `change` to the newest version, write the result as the next one and return that, read back."""
+    current = read_current(spark, base)
+    if current is None:
+        raise ValueError(f"{base} has no complete version")
+    write_version(change(current), base)
+    return read_current(spark, base)
+
+
 def merge_partitions(
     base: str, new: DataFrame, partition_by: Sequence[str], merge: Callable[[DataFrame, DataFrame], DataFrame]
 ) -> None:
@@ -167,6 +176,7 @@ __all__ = [
     "dedupe_urban",
     "insert_fires",
     "merge_partitions",
+    "next_version",
     "read_current",
     "update_matched",
     "upsert_climate",

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from sitewarden.constants import CATEGORIES
 from sitewarden.functions.scalars import clean, first_nonempty
+from sitewarden.sources.documents import json_elements
 
 _TEXT = (
     "id_number",
@@ -80,9 +81,12 @@ def read_sites_json(spark: SparkSession, path: str, strict_reference: bool = Fal
 
     `strict_reference=True` keeps the looser habits of the JSON feed: a zero coordinate drops the
     record, any non-empty danger text is true, categories pass unchecked and a bad year or area
-    drops the record. `multiline=False` reads one object per line, which Spark can split.
+    drops the record. A list is read by as many tasks as its size asks for; `multiline=False` reads one object per line.
     """
-    raw = spark.read.schema(_FLAT).option("multiLine", multiline).json(path)
+    if multiline:
+        raw = json_elements(spark, path, level=1).select(F.from_json("text", _FLAT).alias("o")).select("o.*")
+    else:
+        raw = spark.read.schema(_FLAT).json(path)
     first_id = F.coalesce(F.nullif("id_number", F.lit("")), F.nullif("id", F.lit("")))
     keyed = raw.withColumn("whc_id", F.trim(first_id).try_cast("int"))
     lat, lon = _number("latitude"), _number("longitude")

@@ -7,12 +7,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewarden.functions.geodesy import WGS84_F, geodesic_m
+from sitewarden import session
 from sitewarden.operators import neardup
 from sitewarden.operators import quality as ql
 from sitewarden.operators import reports as rp
 from sitewarden.operators.filters import filter_sites_by_iso, first_per_key
 from sitewarden.operators.merge import merge_latest, update_matched
 from sitewarden.operators.neardup import drop_near_duplicates
+from sitewarden.session import new_path
 from sitewarden.sources import climate as cl
 from sitewarden.sources import hazards as hz
 from sitewarden.sources import sinks
@@ -251,3 +253,20 @@ def test_stream_drops_repeats_across_runs(spark, tmp_path):
     start_fires(*args).awaitTermination()
     got = daily_counts(spark.read.parquet(str(tmp_path / "table"))).collect()
     assert [(r.day_night, r.detections) for r in got] == [("N", 3)]
+
+
+def test_versions_change_by_a_merge_and_old_ones_stay(spark):
+    base = new_path(spark, "versions")
+    with pytest.raises(ValueError):
+        sinks.next_version(spark, base, lambda c: c)
+    sinks.write_version(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), base)
+    new = spark.createDataFrame([(2, "B"), (3, "C")], "k int, v string")
+    after = sinks.next_version(spark, base, lambda c: merge_latest(c, new, ["k"], ["v"]))
+    assert {(r.k, r.v) for r in after.collect()} == {(1, "a"), (2, "B"), (3, "C")}
+    assert sinks.versions(spark, base) == [1, 2]
+    assert {(r.k, r.v) for r in spark.read.parquet(f"{base}/v=1").collect()} == {(1, "a"), (2, "b")}
+
+
+@pytest.mark.parametrize("root, refused", [("/tmp/x", True), ("file:/tmp", True), ("file:///var/tmp/y", True), ("/tmpfolder", False), ("file:/mnt/shared", False)])
+def test_temporary_folders_of_one_machine_are_told(spark, root, refused):
+    assert session._of_one_machine(spark, root) is refused
