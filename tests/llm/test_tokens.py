@@ -180,7 +180,7 @@ def test_conversations_in_chunks_and_odd_rows(spark):
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_equals_sql(spark, key):
     con = duckdb.connect()
-    for name in ("documents", "conversations"):
+    for name in ("documents", "conversations", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
     result = con.execute(SQL[key])
     names = sorted(c[0] for c in result.description)
