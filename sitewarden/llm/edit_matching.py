@@ -7,8 +7,9 @@ Myers' bit-parallel distance decides, on that window only.
 Texts and items are lower-cased and their white space is made single spaces. Items reach the tasks in blocks of at most BLOCK_CHARS
 characters, so what is broadcast is bounded however many items there are; every text is scanned once per block.
 
-Cases: null and empty texts match nothing; items that are null or shorter than `min_chars` after normalising are not used (a word or two
-occurs anywhere); equal items are all reported; repeated rows are judged alike; other columns are carried, never read.
+Items shorter than `min_chars` after normalising have no error budget: they are found as they are, between word bounds.
+
+Cases: null and empty texts match nothing; items that are null or shorter than `least_chars` (a word or two occurs anywhere) are not used; equal items are all reported; repeated rows are judged alike; other columns are carried, never read.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from sitewarden.llm.common import steps, strings
 
 ERROR_RATE = 0.05
 MIN_CHARS = 32
+LEAST_CHARS = 12
 BLOCK_CHARS = 8_000_000
 HITS = "doc_id bigint, item_id bigint, distance int, start_char bigint, end_char bigint"
 
@@ -58,6 +60,17 @@ def best_match(pattern: str, text: str, limit: int) -> tuple[int, int] | None:
     return best
 
 
+def _in_word(char: str) -> bool:
+    """Whether a letter beside it may belong to the same word: digits and letters of scripts with two cases, which set words apart by spaces."""
+    return char.isdigit() or char.upper() != char
+
+
+def between_bounds(text: str, start: int, end: int) -> bool:
+    """Whether text[start:end] begins and ends where a word does."""
+    opens = start == 0 or not (_in_word(text[start - 1]) and _in_word(text[start]))
+    return opens and (end == len(text) or not (_in_word(text[end - 1]) and _in_word(text[end])))
+
+
 def pieces(text: str, budget: int) -> list[tuple[int, str]]:
     """(offset, piece): the text in budget + 1 pieces whose lengths differ by one at most."""
     n = budget + 1
@@ -66,10 +79,10 @@ def pieces(text: str, budget: int) -> list[tuple[int, str]]:
 
 
 class Matcher:
-    """The pieces of one block of items."""
+    """The pieces of one block of items; those under `min_chars` have a budget of 0."""
 
-    def __init__(self, items: list[tuple[int, str]], error_rate: float):
-        self.items = [(item_id, text, max(1, int(error_rate * len(text)))) for item_id, text in items]
+    def __init__(self, items: list[tuple[int, str]], error_rate: float, min_chars: int):
+        self.items = [(item_id, text, max(1, int(error_rate * len(text))) if len(text) >= min_chars else 0) for item_id, text in items]
         owners: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text, budget) in enumerate(self.items):
             for offset, piece in pieces(text, budget):
@@ -89,7 +102,7 @@ class Matcher:
         for i, found in starts.items():
             budget, spans = self.items[i][2], []
             for start in sorted(found):
-                if spans and start <= spans[-1][1] + 2 * budget:
+                if spans and budget and start <= spans[-1][1] + 2 * budget:
                     spans[-1][1] = start
                 else:
                     spans.append([start, start])
@@ -103,6 +116,11 @@ class Matcher:
             item_id, pattern, budget = self.items[i]
             best = None
             for first, last in spans:
+                if budget == 0:  # the hit is the whole item
+                    if between_bounds(text, first, first + len(pattern)):
+                        best = (0, first + len(pattern))
+                        break
+                    continue
                 low, high = max(0, first - budget), min(len(text), last + len(pattern) + budget)
                 at = text.find(pattern, low, high)
                 found = (0, at + len(pattern)) if at >= 0 else None
@@ -118,23 +136,24 @@ class Matcher:
         return out
 
 
-def item_blocks(benchmark: DataFrame, min_chars: int, block_chars: int = BLOCK_CHARS) -> list[list[tuple[int, str]]]:
-    """The usable items, normalised, in blocks; one partition of items at a time is on the driver."""
-    blocks, size = [[]], 0
+def item_blocks(benchmark: DataFrame, least_chars: int = LEAST_CHARS, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
+    """The usable items, normalised, in blocks of at most `block_chars` characters or one item; one block and one partition of items at a time are on the driver."""
+    block, size = [], 0
     rows = benchmark.select(F.col("item_id").cast("bigint"), "text").where("text is not null").distinct()
     for row in rows.toLocalIterator():
         text = normal(row.text)
-        if len(text) < min_chars:
+        if len(text) < max(least_chars, 1):
             continue
-        if size and size + len(text) > block_chars:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row.item_id, text))
+        if block and size + len(text) > block_chars:
+            yield sorted(block, key=lambda x: (x[1], x[0] is None, x[0] or 0))
+            block, size = [], 0
+        block.append((row.item_id, text))
         size += len(text)
-    return [sorted(b, key=lambda x: (x[1], x[0] is None, x[0] or 0)) for b in blocks if b]
+    if block:
+        yield sorted(block, key=lambda x: (x[1], x[0] is None, x[0] or 0))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """One row per text and item that occurs in it: doc_id, item_id, distance, and the place in the normalised text.
 
     The start is the end less the item's length, exact when the distance is 0.
@@ -142,11 +161,11 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     out = None
-    for block in item_blocks(benchmark, min_chars):
+    for block in item_blocks(benchmark, least_chars):
         shared = spark.sparkContext.broadcast(block)
 
         def task(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, error_rate)
+            matcher = Matcher(shared.value, error_rate, min_chars)
             for batch in batches:
                 for part in steps(batch):
                     found = []
@@ -162,14 +181,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RAT
     return spark.createDataFrame([], HITS) if out is None else out
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS) -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_RATE, min_chars: int = MIN_CHARS, least_chars: int = LEAST_CHARS) -> DataFrame:
     """The rows in whose text no item occurs, with all their columns."""
     spark = docs.sparkSession
-    for block in item_blocks(benchmark, min_chars):
+    for block in item_blocks(benchmark, least_chars):
         shared = spark.sparkContext.broadcast(block)
 
         def task(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value, error_rate)
+            matcher = Matcher(shared.value, error_rate, min_chars)
             for batch in batches:
                 for part in steps(batch):
                     clean = [not matcher.match(normal(text)) for text in strings(part.column("text"))]

@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sitewarden.session import fits, stage
+from sitewarden.session import stage
 
 ALPHA = 0.5
 SEED = 17
-MAX_BROADCAST_SOURCES = 10_000
+MAX_BROADCAST_BYTES = 64_000_000
 SALTS = 64
 _DIGITS = 13  # hexadecimal digits of the uniform numbers: 52 bits
 
@@ -73,15 +73,20 @@ def with_distribution(rated: DataFrame) -> DataFrame:
     return summed.groupBy("source_key", "rate").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda s: s["c"]).alias("cdf"))
 
 
+def table_bytes(table: DataFrame) -> int:
+    """Size of the distributions: 8 bytes a step, and the keys."""
+    return table.agg(F.sum(8 * F.size("cdf").cast("bigint") + F.octet_length("source_key") + 64)).first()[0] or 0
+
+
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, alpha: float = ALPHA, total: int | None = None, seed: int = SEED) -> DataFrame:
     """(row, copy, rate, shuffle_key): each document as the struct `row`, once per copy, in shuffled order."""
     table = stage(with_distribution(rates(docs, weights, alpha, total)), "rates")
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), source_key(docs["source"]).alias("source_key"))
     keys = ["source_key"]
-    if fits(table, MAX_BROADCAST_SOURCES):
+    if table_bytes(table) <= MAX_BROADCAST_BYTES:
         table = F.broadcast(table)
     else:
-        # many sources: both sides move, a hot source's documents over SALTS keys
+        # many sources or high rates: both sides move, a hot source's documents over SALTS keys
         keys.append("salt")
         packed = packed.withColumn("salt", F.pmod(F.xxhash64("row.doc_id"), F.lit(SALTS)).cast("int"))
         table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

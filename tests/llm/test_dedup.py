@@ -187,12 +187,23 @@ def test_edit_matching_blocks_and_odd_rows(spark):
     rng = random.Random(9)
     items = [(i, sentence(rng, 30)) for i in range(6)]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    assert len(edit_matching.item_blocks(benchmark, 32, block_chars=300)) > 1
+    blocks = list(edit_matching.item_blocks(benchmark, block_chars=300))
+    assert len(blocks) > 1
+    assert sorted(i for b in blocks for i, _ in b) == list(range(6))
     docs = odd_rows(spark)
     assert edit_matching.keep_clean(docs, benchmark).count() == docs.count()
     assert edit_matching.keep_clean(docs, benchmark).columns == docs.columns
 
 
+def test_short_items_are_found_between_word_bounds(spark):
+    benchmark = spark.createDataFrame([(1, "What is  two plus two?"), (2, "yes"), (3, "two plus six"), (4, "\u4eca\u5929\u5929\u6c14\u600e\u4e48\u6837\u660e\u5929\u5462\u6211\u4eec"), (None, None)], "item_id bigint, text string")
+    texts = ["so: what is two plus two?", "what is two plus twos? yes", "two plus sixty", "(TWO plus\nsix)", "a what is two plus two", "\u597d" + "\u4eca\u5929\u5929\u6c14\u600e\u4e48\u6837\u660e\u5929\u5462\u6211\u4eec" + "\u597d", "two plus sixty two plus six", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = sorted((r.doc_id, r.item_id, r.distance, r.start_char, r.end_char) for r in edit_matching.matches(docs, benchmark).collect())
+    assert found == [(0, 1, 0, 4, 25), (3, 3, 0, 1, 13), (5, 4, 0, 1, 13), (6, 3, 0, 15, 27)]
+    assert {r.doc_id for r in edit_matching.keep_clean(docs, benchmark).collect()} == {1, 2, 4, 7, 8}
+
+
 def test_chains_are_best_collinear_ones():
     assert passage_chains.chains([(0, 10, 0, 10), (12, 30, 11, 29)]) == [(0, 30, 0, 29)]
     # crossing runs never share a chain

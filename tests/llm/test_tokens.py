@@ -127,7 +127,7 @@ def test_mixing_meets_its_targets(spark):
 def test_mixing_is_the_same_with_many_sources(spark, monkeypatch):
     docs = spark.createDataFrame([(i % 50, "x" * (i + 1), None, f"s{i % 7}") for i in range(300)], SCHEMA)
     small = sorted(map(str, mixing.mix(docs).collect()))
-    monkeypatch.setattr(mixing, "MAX_BROADCAST_SOURCES", 3)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BYTES", 3)
     assert sorted(map(str, mixing.mix(docs).collect())) == small
 
 
