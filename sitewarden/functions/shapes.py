@@ -47,6 +47,11 @@ def from_geojson(text: Column) -> Column:
     return _nested(kind, pairs, 0)
 
 
+def shape_of_rings(rings: Column) -> Column:
+    """The shape of one polygon, shell then holes; null for null."""
+    return F.when(rings.isNotNull(), F.struct(F.lit("POLYGON").alias("kind"), F.array(rings).alias("polygons")))
+
+
 def project_shape(shape: Column, crs: int = 3035) -> Column:
     """Project every vertex."""
     polygons = F.transform(shape.getField("polygons"), lambda rings: project_rings(rings, crs))

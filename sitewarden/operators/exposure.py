@@ -17,7 +17,7 @@ from sitewarden.constants import (
     URBAN_LINK_M,
     URBAN_SCORE_M,
 )
-from sitewarden.functions.polygons import st_area, with_plane_rings
+from sitewarden.functions.shapes import project_shape, shape_area, shape_of_rings
 from sitewarden.functions.scalars import clip01
 from sitewarden.operators.spatial import distance_sums
 from sitewarden.session import resolve_strategy
@@ -116,11 +116,18 @@ def flood_exposure(
 
 
 def urban_sums(urban: DataFrame, radius_m: float = URBAN_SCORE_M, crs: int = 3035) -> DataFrame:
-    """building_count (all features) and total_area_m2 (buildings only) per linked site."""
+    """building_count (all features) and total_area_m2 (buildings only) per linked site.
+
+    The area is that of all polygons of `shape`; features without one, or tables without the column, have the polygon `rings`.
+    """
     near = urban.where((F.col("distance_to_site_m") <= radius_m) & F.col("nearest_site_id").isNotNull())
-    area = F.when(F.col("feature_type") == "building", st_area(F.col("rings_m"))).otherwise(0.0)
+    shape = shape_of_rings(F.col("rings"))
+    if "shape" in urban.columns:
+        shape = F.coalesce("shape", shape)
+    measured = near.withColumn("_shape", shape).withColumn("_plane", project_shape(F.col("_shape"), crs))
+    area = F.when(F.col("feature_type") == "building", shape_area(F.col("_plane"))).otherwise(0.0)
     return (
-        with_plane_rings(near, crs)
+        measured
         .groupBy(F.col("nearest_site_id").alias("site_id"))
         .agg(F.count("id").alias("building_count"), F.sum(area).alias("total_area_m2"))
     )

@@ -138,7 +138,7 @@ def climate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def urban_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features with their site reference and footprint, distance not yet measured."""
+    """Features with their site reference, main footprint (`rings`) and, for buildings, whole `shape`; distance not yet measured."""
     c = F.col("c_custkey")
     slot_lon, slot_lat = _place(c % 100)
     building = F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD", "MACHINERY")
@@ -157,14 +157,20 @@ def urban_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         half.alias("half_lat"),
     ).withColumn("half_lon", F.col("half_lat") / F.cos(F.radians("lat")))
 
-    def corner(sx: int, sy: int) -> Column:
-        return F.struct(
-            (F.col("lon") + sx * F.col("half_lon")).alias("x"), (F.col("lat") + sy * F.col("half_lat")).alias("y")
-        )
+    def box(scale: float = 1.0, east: float = 0.0) -> Column:
+        corners = ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))
+        lon, lat, wide, high = (F.col(n) for n in ("lon", "lat", "half_lon", "half_lat"))
+        return F.array(*[F.struct((lon + (sx * scale + east) * wide).alias("x"), (lat + sy * scale * high).alias("y")) for sx, sy in corners])
 
-    square = F.array(*[corner(*s) for s in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))])
+    square = box()
     point = F.array(F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")))
-    return placed.withColumn("rings", F.array(F.when(F.col("is_building"), square).otherwise(point))).drop(
+    # every seventh building has a yard, every fifth a wing apart from it
+    house = F.when(F.col("id") % 7 == 0, F.array(square, box(0.5))).otherwise(F.array(square))
+    parts = F.when(F.col("id") % 5 == 0, F.array(house, F.array(box(1.0, 4.0)))).otherwise(F.array(house))
+    kind = F.when(F.col("id") % 5 == 0, "MULTIPOLYGON").otherwise("POLYGON")
+    shape = F.when(F.col("is_building"), F.struct(kind.alias("kind"), parts.alias("polygons")))
+    shaped = placed.withColumn("shape", shape)
+    return shaped.withColumn("rings", F.array(F.when(F.col("is_building"), square).otherwise(point))).drop(
         "is_building", "half_lat", "half_lon"
     )
 

@@ -77,13 +77,14 @@ def agg_site_density(t):
 
 @query(
     "agg_table_counts",
-    f"""{W('sites', 'urban', 'climate', 'quakes', 'fires', 'floods')}
+    f"""{W('sites', 'urban', 'climate', 'quakes', 'fires', 'floods', 'scores')}
     SELECT 'sites' AS "table", count(*) AS "rows", CAST(-1 AS BIGINT) AS linked, -1.0::DOUBLE AS avg_distance FROM sites
     UNION ALL SELECT 'urban_features', count(*), count(nearest_site_id), {r('avg(distance_to_site_m)', 3, 'd')} FROM urban
     UNION ALL SELECT 'climate_events', count(*), -1, -1 FROM climate
     UNION ALL SELECT 'earthquake_events', count(*), -1, -1 FROM quakes
     UNION ALL SELECT 'fire_events', count(*), -1, -1 FROM fires
-    UNION ALL SELECT 'flood_zones', count(*), -1, -1 FROM floods""",
+    UNION ALL SELECT 'flood_zones', count(*), -1, -1 FROM floods
+    UNION ALL SELECT 'risk_scores', count(*), -1, -1 FROM scores""",
 )
 def agg_table_counts(t):
     tables = {
@@ -93,6 +94,7 @@ def agg_table_counts(t):
         "earthquake_events": t.quakes,
         "fire_events": t.fires,
         "flood_zones": t.floods,
+        "risk_scores": t.scores,
     }
     out = rp.table_counts(tables, {"urban_features": ("nearest_site_id", "distance_to_site_m")})
     out = out.withColumns(

@@ -149,9 +149,16 @@ def val_date_gaps(t):
     return texts(ql.date_gap_report(t.climate), "start_date", "end_date")
 
 
+_SCORE_DOMAINS = [*SCORES, "composite_risk_score"]
+_SCORE_RULES_SQL = " UNION ALL ".join(
+    f"SELECT 'risk_scores' AS tab, '{c}_domain' AS rule, count(CASE WHEN {c} < 0 OR {c} > 1 THEN 1 END) AS violations FROM x" for c in _SCORE_DOMAINS
+)
+
+
 @query(
     "val_constraints",
-    f"""{W('sites', 'climate', 'quakes')}, s AS (SELECT CASE WHEN site_id % 9 = 4 THEN whc_id - 1 ELSE whc_id END AS whc_id,
+    f"""{W('sites', 'climate', 'quakes', 'fires', 'scores')}, x AS (SELECT * EXCLUDE (risk_level, fire_risk_score),
+      CASE WHEN site_id % 6 = 1 THEN 'severe' ELSE risk_level END AS risk_level, CASE WHEN site_id % 10 = 3 THEN 1.5::DOUBLE ELSE fire_risk_score END AS fire_risk_score FROM scores), s AS (SELECT CASE WHEN site_id % 9 = 4 THEN whc_id - 1 ELSE whc_id END AS whc_id,
       CASE WHEN site_id % 8 = 3 THEN NULL ELSE name END AS name,
       CASE WHEN site_id % 13 = 2 THEN 'Ruins' ELSE category END AS category FROM sites)
     SELECT 'sites' AS tab, 'whc_id_not_null' AS rule, count(CASE WHEN whc_id IS NULL THEN 1 END) AS violations FROM s
@@ -164,7 +171,11 @@ def val_date_gaps(t):
     UNION ALL SELECT 'earthquake_events', 'usgs_id_not_null', count(CASE WHEN usgs_id IS NULL THEN 1 END) FROM quakes
     UNION ALL SELECT 'earthquake_events', 'magnitude_not_null', count(CASE WHEN magnitude IS NULL OR magnitude > 7.5 THEN 1 END) FROM quakes
     UNION ALL SELECT 'earthquake_events', 'event_time_not_null', count(CASE WHEN event_time IS NULL THEN 1 END) FROM quakes
-    UNION ALL SELECT 'earthquake_events', 'usgs_id_unique', CAST(count(*) - count(DISTINCT usgs_id) AS BIGINT) FROM quakes""",
+    UNION ALL SELECT 'earthquake_events', 'usgs_id_unique', CAST(count(*) - count(DISTINCT usgs_id) AS BIGINT) FROM quakes
+    UNION ALL SELECT 'fire_events', 'acq_date_not_null', count(CASE WHEN ord % 50 = 7 THEN 1 END) FROM fires
+    UNION ALL {_SCORE_RULES_SQL}
+    UNION ALL SELECT 'risk_scores', 'risk_level_domain', count(CASE WHEN risk_level NOT IN ('low', 'medium', 'high', 'critical') THEN 1 END) FROM x
+    UNION ALL SELECT 'risk_scores', 'site_id_unique', CAST(count(*) - count(DISTINCT site_id) AS BIGINT) FROM x""",
 )
 def val_constraints(t):
     k = F.col("site_id")
@@ -174,9 +185,17 @@ def val_constraints(t):
         F.when(k % 13 == 2, "Ruins").otherwise(F.col("category")).alias("category"),
     )
     quakes = t.quakes.withColumn("magnitude", F.when(F.col("magnitude") <= 7.5, F.col("magnitude")))
+    fires = t.fires.withColumn("acq_date", F.when(F.col("ord") % 50 != 7, F.col("acq_date")))
+    scores = t.scores.withColumns(
+        {
+            "risk_level": F.when(k % 6 == 1, "severe").otherwise(F.col("risk_level")),
+            "fire_risk_score": F.when(k % 10 == 3, 1.5).otherwise(F.col("fire_risk_score")),
+        }
+    )
+    tables = {"sites": sites, "climate_events": t.climate, "earthquake_events": quakes, "fire_events": fires, "risk_scores": scores}
     parts = [
         ql.check_domains(df, name).select(F.lit(name).alias("tab"), "rule", "violations")
-        for name, df in (("sites", sites), ("climate_events", t.climate), ("earthquake_events", quakes))
+        for name, df in tables.items()
     ]
     return fl.union_all(*parts)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewarden.functions.shapes import shape_area
+from sitewarden.operators.filters import union_all
 from sitewarden.plans.oracle import r, with_ctes
 from sitewarden.plans.registry import query, rounded, texts
 from sitewarden.schemas import SCHEMAS, load_table
@@ -263,21 +265,37 @@ def src_climate_maps(t):
     "src_urban_features",
     f"""{W('urban0')} SELECT osm_id, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 'landuse' ELSE 'building' END AS feature_type,
     CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'residential' WHEN 'HOUSEHOLD' THEN 'house' ELSE 'yes' END AS feature_value,
-    name, nearest_site_id FROM urban0 WHERE c_mktsegment <> 'FURNITURE'""",
+    name, nearest_site_id, CASE id % 3 WHEN 0 THEN 'MULTIPOLYGON' WHEN 1 THEN 'POLYGON' ELSE 'LINESTRING' END AS kind,
+    CASE id % 3 WHEN 2 THEN 1 ELSE 2 END AS n_rings,
+    CASE id % 3 WHEN 0 THEN a * a + 4 WHEN 1 THEN a * a - 1 ELSE 0 END::DOUBLE AS area
+    FROM (SELECT *, id % 9 + 2 AS a FROM urban0) WHERE c_mktsegment <> 'FURNITURE'""",
 )
 def src_urban_features(t):
     s = F.col("c_mktsegment")
     k = F.col("c_custkey")
     building = F.when(s == "HOUSEHOLD", "house").when(s == "BUILDING", "yes").when(s == "MACHINERY", "True")
     landuse = F.when(s == "AUTOMOBILE", "residential").when(s == "FURNITURE", "forest")
+    square, hole, apart = "[[0,0],[%1$d,0],[%1$d,%1$d],[0,%1$d],[0,0]]", "[[0.5,0.5],[1.5,0.5],[1.5,1.5],[0.5,1.5],[0.5,0.5]]", "[[20,0],[20,2],[22,2],[22,0],[20,0]]"
+    geometry = (
+        F.when(k % 3 == 0, F.format_string(f'{{"type":"MultiPolygon","coordinates":[[{square}],[{apart}]]}}', k % 9 + 2))
+        .when(k % 3 == 1, F.format_string(f'{{"type":"Polygon","coordinates":[{square},{hole}]}}', k % 9 + 2))
+        .otherwise(F.format_string(f'{{"type":"LineString","coordinates":{square}}}', k % 9 + 2))
+    )
     rows = t.raw("customer").select(
         (k * 10).alias("osm_id"),
         F.lit("way").alias("osm_type"),
         (k % 100).alias("site_id"),
         F.struct(building.alias("building"), landuse.alias("landuse"), F.col("c_name").alias("name")).alias("tags"),
+        geometry.alias("geometry"),
+    )
+    # the geometry is landed as an object, as the feed has it
+    attributes = F.regexp_replace(F.to_json(F.struct("osm_id", "osm_type", "site_id", "tags")), r"\}$", "")
+    lines = rows.select(F.concat(attributes, F.lit(',"geometry":'), "geometry", F.lit("}")).alias("value"))
+    out = read_osm(t.spark, t.landed(lines, "osm", "text"))
+    return out.select(
+        "osm_id", "feature_type", "feature_value", "name", "nearest_site_id",
+        F.col("shape.kind").alias("kind"), F.size("rings").alias("n_rings"), shape_area(F.col("shape")).alias("area"),
     )
-    out = read_osm(t.spark, t.landed(rows, "osm", "json"))
-    return out.select("osm_id", "feature_type", "feature_value", "name", "nearest_site_id")
 
 
 @query(
@@ -308,6 +326,41 @@ def src_tables(t):
     return texts(rounded(out, "magnitude", "lon", "lat"), "event_time", fmt="yyyy-MM-dd HH:mm:ss")
 
 
+_TABLES_SQL = {
+    "sites": ("sites", "area_hectares"),
+    "urban_features": ("urban", "distance_to_site_m"),
+    "climate_events": ("climate", "precipitation_mm"),
+    "earthquake_events": ("quakes", "magnitude"),
+    "fire_events": ("fires", "frp"),
+    "flood_zones": ("floods", "flood_intensity"),
+    "risk_scores": ("scores", "composite_risk_score"),
+}
+
+
+@query(
+    "src_all_tables",
+    f"""{W(*(cte for cte, _ in _TABLES_SQL.values()))} """
+    + " UNION ALL ".join(
+        f"""SELECT '{name}' AS tab, {len(SCHEMAS[name])}::BIGINT AS n_columns, count(*) AS n_rows, count({measure}) AS measured,
+        {r(f'coalesce(sum({measure}), 0)', 3, 'total')} FROM {cte}"""
+        for name, (cte, measure) in _TABLES_SQL.items()
+    ),
+)
+def src_all_tables(t):
+    """All stored tables by their schemas, whatever columns the files have."""
+    folder = new_path(t.spark, "tables")
+    parts = []
+    for name, (source, measure) in _TABLES_SQL.items():
+        rows = getattr(t, source)
+        known = [F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name] if f.name in rows.columns]
+        rows.select(*known).write.parquet(f"{folder}/{name}")
+        table = load_table(t.spark, name, folder)
+        sums = F.coalesce(F.sum(measure), F.lit(0.0)).alias("total")
+        part = table.agg(F.count(F.lit(1)).alias("n_rows"), F.count(measure).alias("measured"), sums)
+        parts.append(part.select(F.lit(name).alias("tab"), F.lit(len(table.columns)).cast("bigint").alias("n_columns"), "n_rows", "measured", "total"))
+    return rounded(union_all(*parts), "total", digits=3)
+
+
 _STEP = 0.1 / 110.5
 
 
