@@ -13,6 +13,7 @@ from sitewarden.functions import shapes as sh
 from sitewarden.operators import exposure as ex
 from sitewarden.operators import reports as rp
 from sitewarden.operators import spatial as sp
+from sitewarden.operators.areas import points_in_areas
 from sitewarden.operators.neardup import drop_near_duplicates
 from sitewarden.operators.scaling import merge_scores
 from sitewarden.plans.linking import link_hazard
@@ -404,3 +405,36 @@ def link_fires(t):
 @query("link_floods", _links_sql("floods", "event_id", 50000))
 def link_floods(t):
     return _linked(t, t.floods, "flood", "event_id")
+
+
+# a house-shaped area with a yard, and for every fourth site a second one beside it; in halves of its size
+_AREA_RINGS = (((-1, -1), (1, -1), (1, 0.3), (0.1, 1), (-1, 0.4)), ((-0.5, -0.5), (0.4, -0.6), (0.5, 0.2), (-0.4, 0.1)), ((2, -1), (3, 0), (2, 1)))
+_AREA_CORNERS_SQL = ", ".join(f"({i}, {k}, {ring[k][0]}::DOUBLE, {ring[k][1]}::DOUBLE, {ring[k - 1][0]}::DOUBLE, {ring[k - 1][1]}::DOUBLE)" for i, ring in enumerate(_AREA_RINGS) for k in range(len(ring)))
+
+
+def _flood_areas(t) -> DataFrame:
+    half = F.col("site_id") % 5 * 0.5 + 0.25371  # so that no event lies on an edge
+    lon, lat = F.col("lon"), F.col("lat")
+
+    def ring(corners):
+        return F.array(*[F.struct((lon + half * x).alias("x"), (lat + half * y).alias("y")) for x, y in (*corners, corners[0])])
+
+    house, wing = F.array(ring(_AREA_RINGS[0]), ring(_AREA_RINGS[1])), F.array(ring(_AREA_RINGS[2]))
+    several = F.col("site_id") % 4 == 0
+    polygons = F.when(several, F.array(house, wing)).otherwise(F.array(house))
+    shape = F.struct(F.when(several, "MULTIPOLYGON").otherwise("POLYGON").alias("kind"), polygons.alias("polygons"))
+    return t.sites.select(F.col("site_id").alias("area_id"), shape.alias("shape"))
+
+
+@query(
+    "join_points_in_areas",
+    f"""{W('sites', 'hazards')}, edges AS (SELECT site_id, lon + h * ax AS ax, lat + h * ay AS ay, lon + h * bx AS bx, lat + h * byy AS byy
+      FROM (SELECT site_id, lon, lat, site_id % 5 * 0.5::DOUBLE + 0.25371::DOUBLE AS h FROM sites) s, (VALUES {_AREA_CORNERS_SQL}) c(ring, k, ax, ay, bx, byy)
+      WHERE ring < 2 OR site_id % 4 = 0)
+    SELECT e.event_id, a.site_id AS area_id FROM hazards e, edges a
+    WHERE (a.ay > e.lat) <> (a.byy > e.lat) AND e.lon < a.ax + (e.lat - a.ay) * (a.bx - a.ax) / nullif(a.byy - a.ay, 0)
+    GROUP BY e.event_id, a.site_id HAVING count(*) % 2 = 1""",
+)
+def join_points_in_areas(t):
+    """Events inside flood areas."""
+    return points_in_areas(t.hazards.select("event_id", "lon", "lat"), _flood_areas(t)).select("event_id", "area_id")
