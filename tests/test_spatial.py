@@ -150,3 +150,33 @@ def test_no_join_compares_every_pair(world, route):
     for df in frames:
         plan = plan_of(df)
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_shuffled_routes_broadcast_nothing(world):
+    sites, events = world
+    nearest = sp.nearest_site(events, sites, 50.0, "event_id", strategy="shuffle")
+    pairs = sp.pairs_within(sites, events, 50_000, strategy="shuffle")
+    plans = [df._jdf.queryExecution().sparkPlan().toString() for df in (nearest, pairs)]
+    assert "Broadcast" not in plans[1]
+    # the last join, by the events' own place, may be a broadcast by size
+    assert "LeftAnti, BuildRight" not in plans[0] and plans[0].count("BroadcastHashJoin") <= 1
+
+
+def test_events_of_one_place_are_joined_once(world, monkeypatch):
+    sites, events = world
+    joined = []
+    real = sp.join_on_cell
+    monkeypatch.setattr(sp, "join_on_cell", lambda left, *rest: joined.append(left.count()) or real(left, *rest))
+    seismic_energy(sites, events.withColumn("magnitude", F.lit(5.0)), 50_000, strategy="broadcast")
+    sp.nearest_site(events, sites, 50.0, "event_id", strategy="broadcast")
+    places = events.select("lon", "lat").distinct().count()
+    assert joined[0] == places < events.count() and joined[1] <= places
+
+
+def test_no_projection_is_evaluated_again_in_an_inferred_filter(world):
+    sites, events = world
+    plain = [df.selectExpr(*[f"{c} + 0 AS {c}" for c in df.columns]) for df in (sites, events)]
+    pairs = sp.nearest_site(plain[1], plain[0], 50.0, "event_id", strategy="broadcast")
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.lstrip("+-: ").startswith("Filter")]
+    assert filters and not any("sin(" in line.lower() or "sqrt(" in line.lower() for line in filters)
