@@ -180,3 +180,11 @@ def test_no_projection_is_evaluated_again_in_an_inferred_filter(world):
     plan = pairs._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if line.lstrip("+-: ").startswith("Filter")]
     assert filters and not any("sin(" in line.lower() or "sqrt(" in line.lower() for line in filters)
+
+
+@pytest.mark.parametrize("route", ROUTES)
+def test_event_beyond_180_degrees_is_suppressed_by_a_degree_closer_site(spark, route):
+    sites = spark.createDataFrame([(1, 177.9, -68.25), (2, -170.0, -60.0)], "site_id bigint, lon double, lat double")
+    event = spark.createDataFrame([(1, -182.14, -68.25)], "event_id bigint, lon double, lat double")
+    assert sp.nearest_site(event, sites.where("site_id = 1"), 50.0, "event_id", strategy=route).count() == 1
+    assert sp.nearest_site(event, sites, 50.0, "event_id", strategy=route).count() == 0
