@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +14,7 @@ from sitewarden.operators.filters import union_all
 from sitewarden.plans.oracle import r, with_ctes
 from sitewarden.plans.registry import query, rounded, texts
 from sitewarden.schemas import SCHEMAS, load_table
-from sitewarden.session import new_path
+from sitewarden.session import new_path, stage
 from sitewarden.sources import climate as cl
 from sitewarden.sources import hazards as hz
 from sitewarden.sources import sites as st
@@ -71,16 +75,24 @@ def src_sites_xml(t):
     return _sites_out(st.read_sites_xml(t.spark, t.landed(rows, "sites_xml", "xml", rowTag="row", rootTag="query")))
 
 
+def one_document(objects: DataFrame, head: str, tail: str) -> DataFrame:
+    """The objects (value) as the lines of one JSON document, made as a stream by one task that holds a batch at a time."""
+
+    def document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # an empty object first, so that every other one follows a comma
+        yield pa.RecordBatch.from_arrays([pa.array([head + "{}"])], ["value"])
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(", ", batch.column("value"), "")], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array([tail])], ["value"])
+
+    return objects.coalesce(1).mapInArrow(document, "value string")
+
+
 def landed_document(t, rows: DataFrame, name: str, head: str, tail: str) -> str:
-    """The rows as one JSON document, written as a stream by one task, as a feed would be."""
+    """The rows as one JSON document, as a feed would be; many tasks make its objects."""
     path = new_path(t.spark, name)
-    # an empty object first, so that every other one follows a comma
-    first = t.spark.range(1).select(F.lit(head + "{}").alias("value"), F.lit(0).alias("place"))
-    objects = rows.select(F.to_json(F.struct("*")).alias("value"))
-    rest = objects.select(F.concat(F.lit(", "), "value").alias("value"), F.lit(1).alias("place"))
-    last = t.spark.range(1).select(F.lit(tail).alias("value"), F.lit(2).alias("place"))
-    document = first.unionByName(rest).unionByName(last).coalesce(1).sortWithinPartitions("place")
-    document.select("value").write.option("lineSep", " ").text(path)
+    objects = stage(rows.select(F.to_json(F.struct("*")).alias("value")), f"{name}_objects")
+    one_document(objects, head, tail).write.option("lineSep", " ").text(path)
     return path
 
 
