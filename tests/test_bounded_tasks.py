@@ -3,7 +3,9 @@
 import csv
 import json
 
+from sitewarden.plans.fixtures import climate
 from sitewarden.plans.queries_source import one_document
+from sitewarden.session import by_key
 from sitewarden.streaming.fires import _STEP_LINES, _by_first_line, start_fires
 
 
@@ -47,3 +49,13 @@ def test_a_streamed_file_is_one_task_s_whatever_its_size(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert sorted(r.lat for r in rows if r.satellite == "N") == [i / 100 for i in range(300)]
     assert sorted(-r.lat for r in rows if r.satellite == "Aqua" and r.lon == -20.0 and r.acq_time == 810) == [i / 100 for i in range(200)]
+
+
+def test_climate_days_are_grouped_in_partitions_of_bounded_rows(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id % 50 as l_suppkey", "id % 7 as l_linenumber", "date_add(date'2024-01-01', cast(id % 90 as int)) as l_shipdate", "id % 50 as l_quantity", "id as l_extendedprice")
+    rows.write.parquet(str(tmp_path / "lineitem.parquet"))
+    plan = climate(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("HashAggregate") < plan.index("REPARTITION_BY_NUM")
+    dealt = by_key(rows, ["l_suppkey", "l_shipdate"], 300)
+    assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 3000
+    assert by_key(rows.where("false"), ["l_suppkey"]).count() == 0
