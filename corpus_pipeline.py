@@ -19,7 +19,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near copies: five-word Jaccard similarity of at least 0.8."""
+    """Keep the document with the smallest id of each group of near copies: five-word Jaccard similarity of at least 0.8.
+
+    Fingerprints near each other in vantage-point trees come first, an exact filter by prefixes finds the pairs beyond their reach.
+    """
     return near_copies.keep_first(docs)
 
 

@@ -58,17 +58,19 @@ def fingerprint_hashes(text: bytes, shingle: int = SHINGLE) -> list[int]:
     return [digest(b" ".join(words[i : i + shingle]), SEED) for i in range(len(words) - shingle + 1)]
 
 
+def fingerprint(hashes: np.ndarray) -> np.uint64:
+    """The bits that more than half of the hashes have."""
+    if not len(hashes):
+        return np.uint64(0)
+    ones = np.zeros(64, dtype=np.int64)
+    for start in range(0, len(hashes), 65_536):
+        bits = np.unpackbits(hashes[start : start + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
+
+
 def fingerprints_of(texts: list[bytes], shingle: int = SHINGLE) -> np.ndarray:
-    out = np.zeros(len(texts), dtype=np.uint64)
-    for i, text in enumerate(texts):
-        hashes = np.array(fingerprint_hashes(text, shingle), dtype=np.uint64)
-        if len(hashes):
-            ones = np.zeros(64, dtype=np.int64)
-            for start in range(0, len(hashes), 65_536):
-                bits = np.unpackbits(hashes[start : start + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                ones += bits.sum(axis=0, dtype=np.int32)
-            out[i] = np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0]
-    return out
+    return np.array([fingerprint(np.array(fingerprint_hashes(text, shingle), dtype=np.uint64)) for text in texts], dtype=np.uint64)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

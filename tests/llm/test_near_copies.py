@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
 from sitewarden.llm import near_copies
 
@@ -92,3 +94,50 @@ def test_columns_named_like_the_join_keys(spark):
     found = near_copies.keep_first(docs)
     assert found.columns == docs.columns
     assert sorted(r.doc_id for r in found.collect()) == [1, 3]
+
+
+def test_bitmaps_differ_in_no_more_places_than_the_sets():
+    rng = np.random.default_rng(3)
+    for n in (1, 30, 400, 3000):
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[len(a) // 10 :], rng.integers(0, 2**63, n // 10, dtype=np.uint64)]))
+        apart = int(np.bitwise_count(near_copies.bitmap(a).view(np.uint64) ^ near_copies.bitmap(b).view(np.uint64)).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_the_trees_give_the_pairs_of_few_edits(spark):
+    rng = random.Random(9)
+    texts = []
+    for _ in range(60):
+        words = rng.choices(WORDS, k=600)
+        texts.append(" ".join(words))
+        texts.append(" ".join([*words, "end"]))
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], SCHEMA)
+    rows = near_copies.set_rows(docs)
+    ids = {r.sid: r.doc_id for r in rows.select("sid", "doc_id").collect()}
+    pairs = {tuple(sorted((ids[r.a], ids[r.b]))) for r in near_copies.print_pairs(rows).collect()}
+    assert len(pairs & {(i, i + 1) for i in range(0, 120, 2)}) >= 54
+
+
+def test_a_shared_line_and_a_large_group_make_few_pairs(spark, monkeypatch):
+    """Texts that share keys but are unlike each other are dropped before their texts move; a group's members meet few of their own."""
+    rng = random.Random(10)
+    line = [f"common{i}" for i in range(12)]
+    texts = [" ".join(line + rng.choices(WORDS, k=30)) for _ in range(150)]
+    words = rng.choices(WORDS, k=80)
+    for _ in range(150):
+        copy = list(words)
+        copy[rng.randrange(80)] = rng.choice(WORDS)
+        texts.append(" ".join(copy))
+    counts = []
+    check = near_copies.verified
+
+    def counted(docs, prints, pairs, repeated=True):
+        counts.append(pairs.count())
+        return check(docs, prints, pairs, repeated)
+
+    monkeypatch.setattr(near_copies, "verified", counted)
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id for r in near_copies.keep_first(docs).collect()}
+    assert found == plain_kept(list(enumerate(texts)))
+    assert sum(counts) <= (near_copies.SPOKES + 1) * len(texts)
