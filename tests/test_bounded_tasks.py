@@ -3,7 +3,7 @@
 import csv
 import json
 
-from sitewarden.plans.fixtures import climate
+from sitewarden.plans.fixtures import climate, urban_raw
 from sitewarden.plans.queries_source import one_document
 from sitewarden.session import by_key
 from sitewarden.streaming.fires import _STEP_LINES, _by_first_line, start_fires
@@ -59,3 +59,9 @@ def test_climate_days_are_grouped_in_partitions_of_bounded_rows(spark, tmp_path)
     dealt = by_key(rows, ["l_suppkey", "l_shipdate"], 300)
     assert dealt.rdd.getNumPartitions() == 10 and dealt.count() == 3000
     assert by_key(rows.where("false"), ["l_suppkey"]).count() == 0
+
+
+def test_features_are_dealt_over_tasks(spark, tmp_path):
+    rows = spark.range(0, 120_001, numPartitions=1).selectExpr("id as c_custkey", "'BUILDING' as c_mktsegment", "'c' as c_name")
+    rows.write.parquet(str(tmp_path / "customer.parquet"))
+    assert urban_raw(spark, str(tmp_path)).rdd.getNumPartitions() == 3
