@@ -10,7 +10,7 @@ A pair links only if the exact similarity of the whole sets, joined for it, is e
 hashes in each of BITMAP_WORDS x 64 places, drops most pairs: it differs in no more places than the sets have shingles apart, which
 are at most a ninth of both. To keep a group of many near copies from meeting in all pairs, each entry is first held against the fingerprints near its
 own and at most SPOKES entries that share a key with it. What is then in one component is settled; of the rest every pair of a key
-across components is checked.
+across components is checked. Such a pair leaves the join at its first common key, not at each of them.
 
 Cases: words are as in simhash_vp; texts under five words are one shingle; null and empty texts are equal. Rows are told apart by
 (doc_id, text): equal rows fall together, different texts under one id are judged each. Rows with null doc_id stay. Other columns are carried.
@@ -39,6 +39,7 @@ SAMPLE_DOCS = 20_000
 SAMPLE_LEAST = 3
 MAX_COMMON = 200_000
 SPOKES = 4
+BEFORE = 16
 BITMAP_WORDS = 8
 _MAP = [f"m{i}" for i in range(BITMAP_WORDS)]
 
@@ -173,6 +174,26 @@ def verified(docs: DataFrame, prints: DataFrame, pairs: DataFrame, repeated: boo
     return stage(pairs.join(mine, "a").join(theirs, "b").select("a", "b", "a_packed", "b_packed").mapInArrow(check, "a bigint, b bigint"), "verified")
 
 
+def with_before(entries: DataFrame) -> DataFrame:
+    """Add `before`, the BEFORE keys (or fewer) that an entry's set brings just before this one."""
+    return entries.withColumn("before", F.collect_list("hash").over(Window.partitionBy("sid").orderBy("pos").rowsBetween(-BEFORE, -1)))
+
+
+def meetings(still: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sids of two components that share a key and whose sizes and bitmaps allow a similarity of 0.8.
+
+    A pair comes at its first shared key; again only where its shared keys are more than BEFORE apart.
+    """
+    # a pair of two components has a side outside the largest one; if both are, it comes from that of the smaller sid
+    left = still.where("label <> largest").select("hash", *(F.col(c).alias(f"my_{c}") for c in ("sid", "n", "pos", "label", "before", *_MAP)))
+    once = (F.col("label") == F.col("largest")) | (F.col("my_sid") < F.col("sid"))
+    # at the first shared key of two sets no more than the rest of either can be shared
+    enough = 9 * F.least(F.col("my_n") - F.col("my_pos"), F.col("n") - F.col("pos")) >= 4 * (F.col("my_n") + F.col("n"))
+    both = left.join(still, "hash").where((F.col("my_label") != F.col("label")) & once & _near_size("my_n", "n") & enough & _near_map("my_", ""))
+    # an earlier shared key has brought the pair already: it has the same labels there, and more of both sets behind it
+    return both.where(~F.arrays_overlap("my_before", "before")).select(F.least("my_sid", "sid").alias("a"), F.greatest("my_sid", "sid").alias("b"))
+
+
 def set_links(docs: DataFrame, rows: DataFrame, prints: DataFrame, repeated: bool = True) -> DataFrame:
     """(node, root) of the components of sids that all pairs of at least 0.8 connect."""
     # the keys of a set are those of the row that stands for it; equal rows would bring them twice
@@ -195,13 +216,8 @@ def set_links(docs: DataFrame, rows: DataFrame, prints: DataFrame, repeated: boo
     labelled = stage(labelled, "labelled")
     sizes = labelled.groupBy("hash", "label").count()
     mixed = sizes.groupBy("hash").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1").select("hash", "largest")
-    still = stage(labelled.join(mixed, "hash").join(prints.select("sid", *_MAP), "sid"), "still")
-    # a pair of two components has a side outside the largest one
-    left = still.where("label <> largest").select("hash", *(F.col(c).alias(f"my_{c}") for c in ("sid", "n", "pos", "label", *_MAP)))
-    both = left.join(still, "hash").where((F.col("my_label") != F.col("label")) & _near_size("my_n", "n") & _near_map("my_", ""))
-    # at the first shared key of two sets no more than the rest of either can be shared
-    both = both.where(9 * F.least(F.col("my_n") - F.col("my_pos"), F.col("n") - F.col("pos")) >= 4 * (F.col("my_n") + F.col("n")))
-    rest = both.select(F.least("my_sid", "sid").alias("a"), F.greatest("my_sid", "sid").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    still = stage(with_before(labelled.join(mixed, "hash").join(prints.select("sid", *_MAP), "sid")), "still")
+    rest = meetings(still).distinct().join(tried, ["a", "b"], "left_anti")
     rest = stage(rest, "rest")
     return roots if rest.isEmpty() else connected(found.unionByName(verified(docs, prints, rest, repeated)))
 

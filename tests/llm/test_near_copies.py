@@ -141,3 +141,25 @@ def test_a_shared_line_and_a_large_group_make_few_pairs(spark, monkeypatch):
     found = {r.doc_id for r in near_copies.keep_first(docs).collect()}
     assert found == plain_kept(list(enumerate(texts)))
     assert sum(counts) <= (near_copies.SPOKES + 1) * len(texts)
+
+
+def test_a_pair_leaves_the_key_join_once(spark):
+    """Sets with many shared keys: one row for each pair, not one for each key and side."""
+    maps = ", ".join(f"{m} bigint" for m in near_copies._MAP)
+    # 1 and 2 share 40 keys, and 20 with 3, every second one; 4 and 5 are the component that is largest at each key
+    holders = [(k, sid) for k in range(40) for sid in (1, 2, 4, 5, *([3] if k % 2 else []))]
+    labels = {1: 1, 2: 2, 3: 3, 4: 4, 5: 4}
+    rows = [(sid, k, 190, k, labels[sid], 4, *[0] * len(near_copies._MAP)) for k, sid in holders]
+    entries = spark.createDataFrame(rows, f"sid bigint, hash bigint, n int, pos int, label bigint, largest bigint, {maps}")
+    met = sorted(tuple(r) for r in near_copies.meetings(near_copies.with_before(entries)).collect())
+    assert met == [(1, 2), (1, 3), (1, 4), (1, 5), (2, 3), (2, 4), (2, 5), (3, 4), (3, 5)]
+
+
+def test_a_pair_whose_shared_keys_lie_far_apart_is_met(spark):
+    """Keys of their own between two shared ones: the first shared one still brings the pair."""
+    maps = ", ".join(f"{m} bigint" for m in near_copies._MAP)
+    shared, own = [0, 100], {sid: [sid * 1000 + i for i in range(30)] for sid in (1, 2)}
+    keys = {sid: [shared[0], *own[sid], shared[1]] for sid in (1, 2)}
+    rows = [(sid, k, 200, i, sid, 1, *[0] * len(near_copies._MAP)) for sid in (1, 2) for i, k in enumerate(keys[sid])]
+    entries = spark.createDataFrame(rows, f"sid bigint, hash bigint, n int, pos int, label bigint, largest bigint, {maps}")
+    assert {tuple(r) for r in near_copies.meetings(near_copies.with_before(entries)).collect()} == {(1, 2)}
