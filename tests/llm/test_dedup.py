@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from sitewarden.llm import edit_matching, passage_chains, simhash_vp
@@ -307,3 +308,26 @@ def test_a_passage_whose_seeds_all_occur_by_chance_before(spark):
         rows = passage_chains.repeated_passages(frame(spark, texts).repartitionByRange(parts, "doc_id")).collect()
         assert {(r.doc_id, r.other_id) for r in rows} == {(9, 8)}, parts
         assert min(r.span_start for r in rows) <= 75 and max(r.span_end for r in rows) >= 125
+
+
+def test_seeds_of_texts_together_are_those_of_each_alone():
+    """Texts behind one another share numpy calls, never a window; their words are those of words_of, their hashes XXH64."""
+    rng = random.Random(7)
+    texts = ["", None, "a b c", "a b c d e", "  A B\x0b\x0cc D e f \x1c g h i j k l m n o \n", "x " * 100, " ", " ".join("q" * i for i in range(70))]
+    texts += [" ".join(rng.choice("abcdefgh") * rng.randrange(1, 40) for _ in range(rng.randrange(60))) for _ in range(40)]
+    column = pa.array(["dropped", *texts], pa.string()).slice(1)
+    codes, sizes = passage_chains.word_codes(column)
+    words = [passage_chains.words_of((t or "").encode()) for t in texts]
+    assert sizes.tolist() == [len(w) for w in words]
+    assert codes.tolist() == [xxhash.xxh64_intdigest(w) for text in words for w in text]
+    together = list(zip(*(c.tolist() for c in passage_chains.seeds_of(codes, sizes)), strict=True))
+    for i in range(len(texts)):
+        alone = passage_chains.seeds_of(*passage_chains.word_codes(column.slice(i, 1)))
+        assert [s[:3] for s in together if s[3] == i] == [s[:3] for s in zip(*(c.tolist() for c in alone), strict=True)]
+
+
+def test_common_length_with_equal_ends():
+    assert passage_chains.common_length(list("abcxde"), list("abcyyde")) == 5
+    assert passage_chains.common_length(list("aaa"), list("aaaaa")) == 3
+    assert passage_chains.common_length(list("abab"), list("ba")) == 2
+    assert passage_chains.common_length([], list("a")) == 0
