@@ -188,3 +188,26 @@ def test_event_beyond_180_degrees_is_suppressed_by_a_degree_closer_site(spark, r
     event = spark.createDataFrame([(1, -182.14, -68.25)], "event_id bigint, lon double, lat double")
     assert sp.nearest_site(event, sites.where("site_id = 1"), 50.0, "event_id", strategy=route).count() == 1
     assert sp.nearest_site(event, sites, 50.0, "event_id", strategy=route).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ROUTES)
+def test_distance_join_searches_each_place_once(spark, monkeypatch, strategy):
+    """Events of one place take its pairs: what is searched and written does not grow with them, the rows do."""
+    sites = spark.createDataFrame([(1, 10.0, 50.0), (2, 10.2, 50.0), (3, -60.0, 0.0)], "site_id bigint, lon double, lat double")
+    places = [(10.1, 50.0)] * 40 + [(0.0, 0.0), (-0.0, 0.0), (10.1, None), (None, 50.0)]
+    events = spark.createDataFrame([(i, lon, lat) for i, (lon, lat) in enumerate(places)], "event_id bigint, lon double, lat double")
+    written = []
+    plain = sp.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(sp, "stage", counted)
+    rows = sp.distance_join(sites, events, 50_000.0, strategy=strategy).select("event_id", "site_id", "lon", "distance_m").collect()
+    assert written == [2]
+    assert sorted((r.event_id, r.site_id) for r in rows if r.event_id is not None) == [(i, s) for i in range(40) for s in (1, 2)]
+    assert [r.site_id for r in rows if r.event_id is None] == [3]
+    inner = sp.distance_join(sites, events, 50_000.0, how="inner", strategy=strategy)
+    assert inner.count() == 80
