@@ -5,7 +5,8 @@ its points by the equi-join alone. A border cell keeps the few edges that touch
 the way from the centre to it crosses an even number of these edges (odd if the centre is outside). Cells are split until EDGES edges are
 left, so an area with many vertices becomes many small rows, whatever its size, and no test folds over a whole area.
 
-The cover is built level by level, each written to the work folder. A point has one cell per level in use. The cover is broadcast if its
+The cover is built level by level, each written to the work folder. Each distinct place is searched once, in one cell per level in use, and its
+points take its areas by an equi-join: only that last join grows with points times areas, as the rows do. The cover is broadcast if its
 measured size allows; else both sides shuffle on the cell, and AQE splits hot cells.
 
 Cases: null or empty shapes, lines and points cover nothing; points without a coordinate, or beyond 256 degrees, are in no area; a point in
@@ -137,12 +138,13 @@ def points_in_areas(points: DataFrame, areas: DataFrame, lon: str = "lon", lat:
     levels = sorted(used[0])
     if strategy == "auto":
         strategy = "broadcast" if (used[1] or 0) <= BROADCAST_BYTES else "shuffle"
-    x, y = F.col("_point.x"), F.col("_point.y")
+    x, y = F.col("_x"), F.col("_y")
     within = (F.abs(x) < HALF_WORLD) & (F.abs(y) < HALF_WORLD)
-    placed = points.select(F.struct("*").alias("_row"), F.struct(F.col(lon).cast("double").alias("x"), F.col(lat).cast("double").alias("y")).alias("_point"))
+    placed = points.select(F.struct("*").alias("_row"), F.col(lon).cast("double").alias("_x"), F.col(lat).cast("double").alias("_y")).where(within)
     keys = F.array(*[_key(F.lit(n), _index(x, F.lit(n)), _index(y, F.lit(n))) for n in levels]).cast("array<bigint>")
-    placed = placed.where(within).withColumn("key", F.explode(keys))
-    joined = placed.join(F.broadcast(cells) if strategy == "broadcast" else cells, "key")
+    joined = placed.select("_x", "_y").distinct().withColumn("key", F.explode(keys)).join(F.broadcast(cells) if strategy == "broadcast" else cells, "key")
     crossed = _crossings(F.col("edges"), _center(F.col("column"), F.col("level")), _center(F.col("row"), F.col("level")), x, y)
     # inside cells have no edge to fold over
-    return joined.where(F.when(F.size("edges") == 0, F.col("inside")).otherwise(F.col("inside") != (crossed % 2 == 1))).select("_row.*", "area_id")
+    found = joined.where(F.when(F.size("edges") == 0, F.col("inside")).otherwise(F.col("inside") != (crossed % 2 == 1))).select("_x", "_y", "area_id")
+    # written, so that Spark knows its size before it plans the join
+    return placed.join(stage(found, "place_areas"), ["_x", "_y"]).select("_row.*", "area_id")

@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sitewarden.operators import areas
 from sitewarden.operators.areas import cover, points_in_areas
 
 SHAPE = "area_id bigint, shape struct<kind:string,polygons:array<array<array<struct<x:double,y:double>>>>>"
@@ -72,3 +73,23 @@ def test_odd_rows(spark):
     assert points_in_areas(places.where("false"), frame).count() == 0
     with pytest.raises(ValueError):
         points_in_areas(places.withColumnRenamed("key", "area_id"), frame)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_each_place_is_searched_once(spark, monkeypatch, strategy):
+    """Points of one place take its areas: the areas found are written once for each place, however many points lie there."""
+    square = [[[(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]]
+    frame = spark.createDataFrame([(i, ("POLYGON", square)) for i in (1, 2)], SHAPE)
+    points = spark.createDataFrame([(i, 0.3, 0.6) for i in range(50)] + [(50, 3.0, 3.0)], "n int, lon double, lat double")
+    written = {}
+    plain = areas.stage
+
+    def counted(df, name):
+        out = plain(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(areas, "stage", counted)
+    found = points_in_areas(points, frame, strategy=strategy)
+    assert written["place_areas"] == 2
+    assert sorted((r.n, r.area_id) for r in found.collect()) == [(i, a) for i in range(50) for a in (1, 2)]
