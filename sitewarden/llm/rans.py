@@ -25,6 +25,7 @@ _LOW = np.uint64(1 << 32)
 _WORD = np.uint64(32)
 _SCALE = np.uint64(SCALE)
 _MASK = np.uint64((1 << SCALE) - 1)
+_TOP = np.uint64(64 - SCALE)
 _HEADER = struct.Struct("<QIIII5II")
 
 
@@ -46,6 +47,11 @@ def frequency_table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return symbols.astype(np.uint32), freqs.astype(np.uint32)
 
 
+def _places(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """`counts` places from each start on."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+
+
 def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> bytes:
     """A segment. `ids` are those of all documents, one after another."""
     symbols, freqs = frequency_table(ids)
@@ -59,24 +65,28 @@ def encode(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> b
     ranks = padded.reshape(n_blocks, steps, LANES)
     freq = freqs.astype(np.uint64)
     base = np.concatenate([[0], np.cumsum(freq)[:-1]]).astype(np.uint64) if len(freq) else freq
-    limit = freq << np.uint64(64 - SCALE)
-    whole_range = limit == 0  # a single symbol fills the table: nothing to write
+    rows = np.arange(n_blocks) * block
     state = np.full((n_blocks, LANES), _LOW, dtype=np.uint64)
     words = np.zeros((n_blocks, block), dtype=np.uint32)
     at = np.full(n_blocks, block, dtype=np.int64)
-    if not whole_range.any():
+    if len(freq) != 1:  # a single symbol fills the table: nothing to write
+        lane, flat = state.reshape(-1), words.reshape(-1)
         for step in range(steps - 1, -1, -1):
-            r = ranks[:, step, :]
-            f = freq[r]
-            full = state >= limit[r]
-            run = np.cumsum(full, axis=1)
-            at -= run[:, -1]
-            place = at[:, None] + run - 1
-            b, j = np.nonzero(full)
-            words[b, place[b, j]] = state[b, j].astype(np.uint32)
-            state[b, j] >>= _WORD
+            r = ranks[:, step, :].astype(np.intp)
+            f = freq.take(r)
+            full = (state >> _TOP) >= f
+            run = np.count_nonzero(full, axis=1)
+            at -= run
+            which = np.flatnonzero(full)
+            long = lane.take(which)
+            flat[_places(at + rows, run)] = long
+            lane[which] = long >> _WORD
             q = state // f
-            state = (q << _SCALE) + (state - q * f) + base[r]
+            f *= q
+            np.subtract(state, f, out=f)
+            f += base.take(r)
+            np.left_shift(q, _SCALE, out=state)
+            state += f
     streams = [words[b, at[b] :] for b in range(n_blocks)]
     known = np.array([d is not None for d in doc_ids], dtype=np.uint8)
     numbers = np.array([d or 0 for d in doc_ids], dtype="<i8")
@@ -139,17 +149,22 @@ class Segment:
                 raise Corrupt(f"words of block {first + b}")
             words[b, :length] = stream
         out = np.zeros((n, self.steps, LANES), dtype=np.int32)
-        at = np.zeros(n, dtype=np.int64)
+        at = np.arange(n) * words.shape[1]
+        lane, flat = state.reshape(-1), words.reshape(-1)
         for step in range(self.steps):
             slot = state & _MASK
-            r = self.rank[slot]
+            r = self.rank.take(slot.view(np.int64))
             out[:, step, :] = r
-            state = self.freq[r] * (state >> _SCALE) + slot - self.base[r]
+            r = r.astype(np.intp)
+            slot -= self.base.take(r)
+            state >>= _SCALE
+            state *= self.freq.take(r)
+            state += slot
             short = state < _LOW
-            run = np.cumsum(short, axis=1)
-            b, j = np.nonzero(short)
-            state[b, j] = (state[b, j] << _WORD) | words[b, at[b] + run[b, j] - 1]
-            at += run[:, -1]
+            run = np.count_nonzero(short, axis=1)
+            which = np.flatnonzero(short)
+            lane[which] = (lane.take(which) << _WORD) | flat.take(_places(at, run))
+            at += run
         ids = self.symbols[out.reshape(-1)[:size]].astype(np.uint32)
         for b in range(n):
             part = ids[b * block : (b + 1) * block]

@@ -1,21 +1,17 @@
-"""Whole texts to token ids with a public byte-level BPE, each distinct word encoded once.
+"""Whole texts to token ids with a public byte-level BPE, each distinct cut encoded once.
 
 A byte-level tokenizer cuts a text by a pattern and encodes the cuts one by one. So the ids of a text are those of its cuts, and each
-distinct cut goes through the library once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
+distinct cut goes through the library's model once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
 split before every space, which is a cut of the pattern unless the space lies inside a longer run of white space (those texts are cut whole).
-What a task remembers is bounded by bytes (KNOWN_BYTES of chunks, two generations of CUT_BYTES of cuts) and dropped with the task.
-Tokenizers with another pre-tokenizer encode whole texts. So do texts that contain the string of an added token (such as <|endoftext|>), which
+What a task remembers is bounded by bytes (KNOWN_BYTES of cuts with their ids) and dropped with the task.
+Other tokenizers encode whole texts. So do texts that contain the string of an added token (such as <|endoftext|>), which
 the library cuts out before its pattern.
 """
 
 from __future__ import annotations
 
 import os
-from array import array
-from collections.abc import Iterable
 from functools import lru_cache
-from itertools import chain
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +22,7 @@ import regex
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _INSIDE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x85] [\s\p{Z}\x0b\x1c-\x1f\x85]"
 KNOWN_BYTES = 64_000_000
-CUT_BYTES = 24_000_000
-ENTRY_BYTES = 200  # of a remembered cut besides its characters and ids
+CALL_CUTS = 2_000  # in one text for the library
 _SIGNS = frozenset(".,;:!?)")
 
 
@@ -38,85 +33,93 @@ def _byte_chars() -> dict[int, str]:
 
 
 _BYTE_CHARS = _byte_chars()
+_WRITTEN = np.array([ord(_BYTE_CHARS[b]) for b in range(256)], dtype="<u2")
 _NO_BYTE = 0xFF  # in no UTF-8 text
-_ID = attrgetter("id")
 
 
-class Cuts:
-    """Cuts with their ids, as many of those last used as two generations hold."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.size = 0
-
-    def missing(self, cuts: Iterable[str]) -> list[str]:
-        """Those that are not known. The others are kept for the present step."""
-        young, old = self.young, self.old
-        missing = []
-        for cut in cuts:
-            if cut not in young:
-                if cut in old:
-                    young[cut] = old[cut]
-                else:
-                    missing.append(cut)
-        return missing
-
-    def add(self, cuts: list[str], ids: list[bytes]) -> None:
-        self.young.update(zip(cuts, ids, strict=True))
-        self.size += ENTRY_BYTES * len(cuts) + sum(map(len, ids)) + sum(map(len, cuts))
-
-    def trim(self) -> None:
-        if self.size > CUT_BYTES:
-            self.old, self.young, self.size = self.young, {}, 0
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
 
 
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        kind = str(self.tokenizer.pre_tokenizer).replace(" ", "")
+        kind, model = str(self.tokenizer.pre_tokenizer).replace(" ", ""), self.tokenizer.model
         self.by_cuts = kind.startswith("ByteLevel(") and "add_prefix_space=False" in kind and "use_regex=True" in kind and self.tokenizer.normalizer is None
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        # every byte has a token, so the tokens of a cut are its bytes, no more and no fewer
+        self.by_cuts = self.by_cuts and isinstance(model, models.BPE) and not (model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix) and vocab.keys() >= set(_BYTE_CHARS.values())
+        self.of_cuts = Tokenizer(model)
+        self.of_cuts.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(_BYTE_CHARS[_NO_BYTE])
+        self.token_bytes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
+        self.token_bytes[list(vocab.values())] = list(map(len, vocab))
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.by_cuts = self.by_cuts and not any("\n" in t for t in added)
         self.added = "|".join("".join(f"\\x{{{ord(c):x}}}" for c in t) for t in added)
         self.forget()
 
     def forget(self) -> None:
-        self.cuts = Cuts()
         self.known, self.known_ids = pa.array([], pa.string()), pa.array([], pa.large_binary())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_cuts(self, cuts: list[str]) -> list[bytes]:
+    def _encode_cuts(self, cuts: pa.Array) -> pa.Array:
         """The ids of each cut: what the model makes of its bytes, each byte as the character that stands for it."""
-        if not cuts:
-            return []
-        tokenize = self.tokenizer.model.tokenize
-        written = bytes((_NO_BYTE,)).join([c.encode() for c in cuts]).decode("latin-1").translate(_BYTE_CHARS).split(_BYTE_CHARS[_NO_BYTE])
-        return [array("I", map(_ID, tokenize(c))).tobytes() for c in written]
-
-    def _cut_ids(self, cuts: list[list[str]]) -> list[bytes]:
-        """The ids of texts that are given as their cuts."""
-        new = self.cuts.missing(set(chain.from_iterable(cuts)))
-        self.cuts.add(new, self._encode_cuts(new))
-        of_cut = self.cuts.young.__getitem__
-        return [b"".join(map(of_cut, c)) for c in cuts]
-
-    def _chunk_ids(self, chunks: list[str]) -> pa.Array:
-        """The ids of chunks after a space. One of letters is one cut with its space, a sign after letters is another."""
-        ids: list[bytes | None] = [None] * len(chunks)
-        words = [i for i, c in enumerate(chunks) if c.isalpha()]
-        for i, found in zip(words, self._encode_cuts([" " + chunks[i] for i in words]), strict=True):
-            ids[i] = found
-        mixed = [i for i, found in enumerate(ids) if found is None]
-        cuts = [[" " + c[:-1], c[-1]] if c[-1:] in _SIGNS and c[:-1].isalpha() else _CUT.findall(" " + c) for c in map(chunks.__getitem__, mixed)]
-        for i, found in zip(mixed, self._cut_ids(cuts), strict=True):
-            ids[i] = found
-        return pa.array(ids, pa.large_binary())
+        firsts = np.append(np.arange(0, len(cuts), CALL_CUTS), len(cuts)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(firsts, cuts.cast(pa.binary())), bytes((_NO_BYTE,))).to_pylist()
+        written = [_WRITTEN[np.frombuffer(j, np.uint8)].tobytes().decode("utf-16-le") for j in joined]
+        found = [np.array(e.ids, dtype="<u4") for e in self.of_cuts.encode_batch_fast(written, add_special_tokens=False)]
+        ids = np.concatenate([*found, np.zeros(0, dtype="<u4")])
+        # a cut ends where as many bytes have been written as it and those before it have
+        ends = np.cumsum(np.append(0, pc.binary_length(cuts).to_numpy(zero_copy_only=False)))
+        at = np.cumsum(np.append(0, self.token_bytes[ids]))
+        bounds = np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or not np.array_equal(at[bounds], ends):
+            raise ValueError("tokens do not end with their cuts")
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(4 * bounds), pa.py_buffer(ids)])
+
+    def _cut_ids(self, cuts: list[str], sizes: list[int]) -> pa.Array:
+        """The ids of chunks or texts that are given as their cuts, `sizes` of them each."""
+        coded = pa.array(cuts, pa.string()).dictionary_encode()
+        distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        place = pc.index_in(distinct, value_set=self.known)
+        new = distinct.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.known) + np.arange(len(new))
+        ids = pa.concat_arrays([self.known_ids, self._encode_cuts(new)])
+        if self.known.nbytes + new.nbytes + ids.nbytes > KNOWN_BYTES:
+            self.known, self.known_ids = distinct, ids.take(pa.array(place))
+        else:
+            self.known, self.known_ids = pa.concat_arrays([self.known, new]), ids
+        found = ids.take(pa.array(place[codes]))
+        _, offsets, data = found.buffers()
+        bounds = np.frombuffer(offsets, np.int64, len(found) + 1)[np.cumsum([0, *sizes])]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(bounds), data])
+
+    def _cuts(self, chunks: list[str], heads: list[str]) -> tuple[list[str], list[int]]:
+        """The cuts of chunks after a space and of texts' heads, and how many each has. A chunk of letters is one cut with its space, a sign after
+        letters is another."""
+        cuts, sizes = [], []
+        for chunk in chunks:
+            if chunk.isalpha():
+                cuts.append(" " + chunk)
+                sizes.append(1)
+            elif chunk[-1:] in _SIGNS and chunk[:-1].isalpha():
+                cuts += (" " + chunk[:-1], chunk[-1])
+                sizes.append(2)
+            else:
+                own = _CUT.findall(" " + chunk)
+                cuts += own
+                sizes.append(len(own))
+        for head in heads:
+            own = _CUT.findall(head)
+            cuts += own
+            sizes.append(len(own))
+        return cuts, sizes
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The token ids of all texts, one after another, and how many each has. Null is empty."""
@@ -142,7 +145,6 @@ class Encoder:
     def _by_cuts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
-        self.cuts.trim()
         odd = pc.match_substring_regex(texts, _INSIDE_RUN)
         # texts to cut whole keep one part
         parts = pc.split_pattern(pc.if_else(odd, "", texts), pattern=" ")
@@ -150,22 +152,13 @@ class Encoder:
         firsts = np.cumsum(sizes) - sizes
         coded = pc.list_flatten(parts).dictionary_encode()
         chunks, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
-        heads = pc.if_else(odd, texts, chunks.take(pa.array(codes[firsts]))).to_pylist()
+        heads = pc.if_else(odd, texts, chunks.take(pa.array(codes[firsts])))
         # a chunk that only begins texts is learned, too: few are
-        place = pc.index_in(chunks, value_set=self.known)
-        new = chunks.filter(pc.is_null(place))
-        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        place[place < 0] = len(self.known) + np.arange(len(new))
-        ids = pa.concat_arrays([self.known_ids, self._chunk_ids(new.to_pylist())])
+        ids = self._cut_ids(*self._cuts(_strings(chunks), _strings(heads)))
         # every place takes the ids of its chunk, or of its text's head
-        which = place[codes]
-        which[firsts] = len(ids) + np.arange(len(heads))
-        head_ids = pa.array(self._cut_ids([_CUT.findall(h) for h in heads]), pa.large_binary())
-        found = pa.concat_arrays([ids, head_ids]).take(pa.array(which))
-        if self.known.nbytes + ids.nbytes > KNOWN_BYTES:
-            self.known, self.known_ids = chunks, ids.take(pa.array(place))
-        else:
-            self.known, self.known_ids = pa.concat_arrays([self.known, new]), ids
+        which = codes.astype(np.int64)
+        which[firsts] = len(chunks) + np.arange(len(heads))
+        found = ids.take(pa.array(which))
         _, offsets, data = found.buffers()
         bounds = np.frombuffer(offsets, np.int64, len(found) + 1, 8 * found.offset) // 4
         all_ids = np.frombuffer(data, "<u4", bounds[-1])[bounds[0] :] if bounds[-1] else np.zeros(0, dtype="<u4")

@@ -67,6 +67,48 @@ def test_added_tokens_in_a_text_are_what_the_library_makes_of_them():
     assert plain.token_to_id(token) in encoder.ids(pa.array(texts[1:2]))[0]
 
 
+def test_no_cut_goes_to_the_model_twice(monkeypatch):
+    encoder, seen = token_cache.Encoder(tokenizer_path()), []
+    encode = encoder._encode_cuts
+
+    def recorded(cuts):
+        seen.extend(map(str, cuts))
+        return encode(cuts)
+
+    monkeypatch.setattr(encoder, "_encode_cuts", recorded)
+    # the same words alone, before a sign, in a table, in a text with a run of white space, and in a later step
+    texts = ["see the word and the end", "the word, the end. the|end|word", "a  the word\n \nthe end\tword", None, "x" * 5000 + " é日本 é日本."]
+    plain = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for step in (texts, texts[::-1], texts):
+        ids, counts = encoder.ids(pa.array(step))
+        assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == [plain[texts.index(t)] for t in step]
+    assert " the" in seen and len(seen) == len(set(seen))
+
+
+def test_many_cuts_and_little_memory_give_the_same_ids(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdeé日,.\n", k=rng.randint(0, 9))) for _ in range(200)) for _ in range(60)]
+    encoder = token_cache.Encoder(tokenizer_path())
+    expected = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(token_cache, "KNOWN_BYTES", 2_000)
+    for calls in (1, 7, 10_000):
+        monkeypatch.setattr(token_cache, "CALL_CUTS", calls, raising=False)
+        for first in range(0, 60, 20):
+            ids, counts = encoder.ids(pa.array(texts[first : first + 20]))
+            assert [part.tolist() for part in np.split(ids, np.cumsum(counts)[:-1])] == expected[first : first + 20]
+
+
+def test_a_vocabulary_without_all_bytes_encodes_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.BPE({"a": 0, "b": 1, "ab": 2}, [("a", "b")]))
+    tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    tokenizer.save(str(tmp_path / "few.json"))
+    encoder = token_cache.Encoder(str(tmp_path / "few.json"))
+    ids, counts = encoder.ids(pa.array(["ab a", "ba é", None]))
+    assert ids.tolist() == [2, 0, 1, 0] and counts.tolist() == [2, 2, 0]
+
+
 def test_token_store_reads_back(spark):
     from tokenizers import Tokenizer
 
