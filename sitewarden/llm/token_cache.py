@@ -1,7 +1,7 @@
 """Whole texts to token ids with a public byte-level BPE, each distinct cut encoded once.
 
 A byte-level tokenizer cuts a text by a pattern and encodes the cuts one by one. So the ids of a text are those of its cuts, and each
-distinct cut goes through the library's model once per task, many to a call. The pattern itself is only run on distinct chunks: a text is first
+distinct cut goes through the library's model once per task. The pattern itself is only run on distinct chunks: a text is first
 split before every space, which is a cut of the pattern unless the space lies inside a longer run of white space (those texts are cut whole).
 What a task remembers is bounded by bytes (KNOWN_BYTES of cuts with their ids) and dropped with the task.
 Other tokenizers encode whole texts. So do texts that contain the string of an added token (such as <|endoftext|>), which
@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,6 @@ import regex
 _CUT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _INSIDE_RUN = r"[\s\p{Z}\x0b\x1c-\x1f\x85] [\s\p{Z}\x0b\x1c-\x1f\x85]"
 KNOWN_BYTES = 64_000_000
-CALL_CUTS = 2_000  # in one text for the library
 _SIGNS = frozenset(".,;:!?)")
 
 
@@ -35,6 +36,7 @@ def _byte_chars() -> dict[int, str]:
 _BYTE_CHARS = _byte_chars()
 _WRITTEN = np.array([ord(_BYTE_CHARS[b]) for b in range(256)], dtype="<u2")
 _NO_BYTE = 0xFF  # in no UTF-8 text
+_ID = attrgetter("id")
 
 
 def _strings(column: pa.Array) -> list[str]:
@@ -44,7 +46,7 @@ def _strings(column: pa.Array) -> list[str]:
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer, models, pre_tokenizers
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_file(path)
         kind, model = str(self.tokenizer.pre_tokenizer).replace(" ", ""), self.tokenizer.model
@@ -52,8 +54,6 @@ class Encoder:
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         # every byte has a token, so the tokens of a cut are its bytes, no more and no fewer
         self.by_cuts = self.by_cuts and isinstance(model, models.BPE) and not (model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix) and vocab.keys() >= set(_BYTE_CHARS.values())
-        self.of_cuts = Tokenizer(model)
-        self.of_cuts.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(_BYTE_CHARS[_NO_BYTE])
         self.token_bytes = np.zeros(max(vocab.values(), default=0) + 1, dtype=np.int64)
         self.token_bytes[list(vocab.values())] = list(map(len, vocab))
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
@@ -69,11 +69,9 @@ class Encoder:
 
     def _encode_cuts(self, cuts: pa.Array) -> pa.Array:
         """The ids of each cut: what the model makes of its bytes, each byte as the character that stands for it."""
-        firsts = np.append(np.arange(0, len(cuts), CALL_CUTS), len(cuts)).astype(np.int32)
-        joined = pc.binary_join(pa.ListArray.from_arrays(firsts, cuts.cast(pa.binary())), bytes((_NO_BYTE,))).to_pylist()
-        written = [_WRITTEN[np.frombuffer(j, np.uint8)].tobytes().decode("utf-16-le") for j in joined]
-        found = [np.array(e.ids, dtype="<u4") for e in self.of_cuts.encode_batch_fast(written, add_special_tokens=False)]
-        ids = np.concatenate([*found, np.zeros(0, dtype="<u4")])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(cuts)], pa.int32()), cuts.cast(pa.binary())), bytes((_NO_BYTE,)))[0].as_py()
+        written = _WRITTEN[np.frombuffer(joined, np.uint8)].tobytes().decode("utf-16-le").split(_BYTE_CHARS[_NO_BYTE])
+        ids = np.fromiter(map(_ID, chain.from_iterable(map(self.tokenizer.model.tokenize, written))), dtype="<u4")
         # a cut ends where as many bytes have been written as it and those before it have
         ends = np.cumsum(np.append(0, pc.binary_length(cuts).to_numpy(zero_copy_only=False)))
         at = np.cumsum(np.append(0, self.token_bytes[ids]))
