@@ -331,3 +331,60 @@ def test_common_length_with_equal_ends():
     assert passage_chains.common_length(list("aaa"), list("aaaaa")) == 3
     assert passage_chains.common_length(list("abab"), list("ba")) == 2
     assert passage_chains.common_length([], list("a")) == 0
+
+
+def edited_every(rng, words, k):
+    return [w if (i + 1) % k else f"new{rng.randrange(10**9)}" for i, w in enumerate(words)]
+
+
+def test_passages_with_an_edit_in_every_six_words(spark):
+    """The five equal words between two edits are one window: every window has to be a seed."""
+    rng = random.Random(16)
+    passages = [sentence(rng, 100).split() for _ in range(12)]
+    wrapped = lambda words: " ".join([sentence(rng, 80), *words, sentence(rng, 80)])
+    texts = [wrapped(p) for p in passages] + [wrapped(edited_every(rng, p, 6)) for p in passages]
+    rows = passage_chains.repeated_passages(frame(spark, texts)).collect()
+    spans = {(r.doc_id, r.span_start, r.span_end) for r in rows}
+    assert {d for d, *_ in spans} == set(range(12, 24)) and {(r.doc_id, r.other_id) for r in rows} == {(12 + i, i) for i in range(12)}
+    assert sum(max(0, min(e, 180) - max(s, 80)) for _, s, e in spans) >= 0.9 * 12 * 100
+
+
+def test_an_edited_passage_whose_windows_all_occur_before(spark):
+    """No sixteen words are equal; every window of five comes before in unrelated documents, once or in more than MEET places."""
+    rng = random.Random(17)
+    passage = sentence(rng, 100).split()
+    for times in (1, 3 * passage_chains.MEET):
+        chance = [" ".join(sentence(rng, 12) + " " + " ".join(passage[i : i + 5]) for i in range(at, 96, 8)) + " " + sentence(rng, 12) for at in range(8) for _ in range(times)]
+        texts = [*chance, " ".join([sentence(rng, 40), *passage, sentence(rng, 40)]), " ".join([sentence(rng, 70), *edited_every(rng, passage, 12), sentence(rng, 10)])]
+        n = len(chance)
+        rows = passage_chains.repeated_passages(frame(spark, texts).repartitionByRange(3, "doc_id")).collect()
+        assert {(r.doc_id, r.other_id) for r in rows} == {(n + 1, n)}, times
+        assert min(r.span_start for r in rows) <= 75 and max(r.span_end for r in rows) >= 160
+
+
+def test_met_places_equal_a_plain_version():
+    rng = np.random.default_rng(3)
+    for spread in (3, 40, 400):
+        keys, docs = rng.integers(0, spread, 600).astype(np.uint64), rng.integers(0, 30, 600)
+        pos = rng.permutation(600).astype(np.int32)
+        mine, theirs, many, first = passage_chains.met(keys, docs, pos)
+        expected, hot = set(), set()
+        for key in set(keys.tolist()):
+            places = sorted(np.flatnonzero(keys == key).tolist(), key=lambda i: (docs[i], pos[i]))
+            few = len(places) <= passage_chains.MEET
+            expected |= {(a, b) for j, a in enumerate(places) for b in (places[:j] if few else places[:1]) if docs[a] != docs[b]}
+            hot |= set() if few or len(set(docs[places].tolist())) == 1 else {(a, places[0]) for a in places}
+        assert sorted(zip(mine.tolist(), theirs.tolist(), strict=True)) == sorted(expected)
+        assert sorted(zip(many.tolist(), first.tolist(), strict=True)) == sorted(hot)
+
+
+def test_packed_seeds_come_back():
+    rng = np.random.default_rng(4)
+    keys, docs = rng.integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2), np.sort(rng.integers(-(1 << 60), 1 << 60, 5000))
+    pos, near = rng.integers(0, 1 << 30, 5000).astype(np.int32), rng.integers(0, 256, 5000).astype(np.uint8)
+    last = pos + rng.integers(0, 8, 5000).astype(np.int32)
+    packed = passage_chains.packed_seeds(keys, docs, pos, last, near, 7)
+    back = passage_chains.unpacked_seeds(iter([packed.slice(0, 3), packed.slice(3)]))
+    mask = np.uint64((1 << 40) - 1)
+    assert sorted(zip(*(c.tolist() for c in back), strict=True)) == sorted(zip(*(c.tolist() for c in (keys & mask, docs, pos, last, near)), strict=True))
+    assert all(len(c) == 0 for c in passage_chains.unpacked_seeds(iter([])))
