@@ -388,3 +388,12 @@ def test_packed_seeds_come_back():
     mask = np.uint64((1 << 40) - 1)
     assert sorted(zip(*(c.tolist() for c in back), strict=True)) == sorted(zip(*(c.tolist() for c in (keys & mask, docs, pos, last, near)), strict=True))
     assert all(len(c) == 0 for c in passage_chains.unpacked_seeds(iter([])))
+
+
+def test_one_word_repeated_where_many_documents_repeat_it_less_often(spark):
+    """Keys of one and of two seeds are of many places, and the first place of each makes no chain."""
+    rng = random.Random(18)
+    texts = [" ".join([sentence(rng, 20), *["word"] * n, sentence(rng, 20)]) for n in [5 + i % 7 for i in range(60)] + [70, 70]]
+    rows = passage_chains.repeated_passages(frame(spark, texts)).collect()
+    assert {(r.doc_id, r.other_id) for r in rows} == {(61, 60)}
+    assert min(r.span_start for r in rows) <= 20 and max(r.span_end for r in rows) >= 90
